@@ -18,6 +18,21 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from keyharbor.llm.bpe import decode, encode
+
+    ranks = public_tokenizers.path(RANK_FILE)
+    both = decode(encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,7 +62,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_dedup, op4_bpe_round_trip, op8_token_counts, op9_quality_rules, op10_secret_scan)}
 
 #: DuckDB SQL, for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {}
