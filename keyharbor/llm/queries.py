@@ -33,6 +33,19 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyharbor.llm.line_dedup import dedup_lines
+
+    kept = dedup_lines(table(spark, sf_dir, "documents"))
+    runs = F.filter("removed_lines", lambda x: ~F.array_contains("removed_lines", x - 1))
+    return kept.select(
+        "doc_id",
+        F.size("removed_lines").cast("long").alias("n_removed"),
+        F.size(runs).cast("long").alias("n_runs"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -62,7 +75,36 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_dedup, op4_bpe_round_trip, op8_token_counts, op9_quality_rules, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_dedup, op4_bpe_round_trip, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
 
 #: DuckDB SQL, for the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": """
+        WITH lines AS (
+            SELECT doc_id, unnest(range(len(s))) AS i, unnest(s) AS line
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)
+        ), l1 AS (
+            SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w FROM lines
+            WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
+        ), l2 AS (
+            SELECT *, [line, lead(line, 1) OVER d] AS two, [line, lead(line, 1) OVER d, lead(line, 2) OVER d, lead(line, 3) OVER d] AS four,
+                sum(w) OVER (d ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS w2, lead(i, 1) OVER d AS e2, lead(i, 3) OVER d AS e4
+            FROM l1 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), starts AS (
+            SELECT doc_id, i,
+                (w >= 50 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1) AS s1,
+                (e2 IS NOT NULL AND w2 >= 50 AND row_number() OVER (PARTITION BY two ORDER BY doc_id, i) > 1) AS s2,
+                (e4 IS NOT NULL AND row_number() OVER (PARTITION BY four ORDER BY doc_id, i) > 1) AS s4
+            FROM l2
+        ), gone AS (
+            SELECT doc_id, i, s1 OR max(s2) OVER (d ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) OR max(s4) OVER (d ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS g
+            FROM starts WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+        ), rest AS (
+            SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE NOT coalesce(g, false)) AS kept,
+                count(*) FILTER (WHERE coalesce(g, false)) AS n_removed,
+                list(l.i ORDER BY l.i) FILTER (WHERE coalesce(g, false)) AS places
+            FROM lines l LEFT JOIN gone USING (doc_id, i) GROUP BY l.doc_id
+        )
+        SELECT doc_id, n_removed, coalesce(len(list_filter(places, lambda x: NOT list_contains(places, x - 1))), 0) AS n_runs, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM rest""",
+}
