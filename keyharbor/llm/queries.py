@@ -33,6 +33,16 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyharbor.llm.toxicity import fit, score
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    machine = fit(docs, labels.where(fifth != 0))
+    held_out = F.coalesce(fifth == 0, F.lit(True))
+    return score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyharbor.llm.line_dedup import dedup_lines
 
@@ -75,7 +85,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_dedup, op4_bpe_round_trip, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
 
 #: DuckDB SQL, for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
