@@ -12,6 +12,12 @@ from keyharbor.llm.common import table
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyharbor.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyharbor.llm.simhash_dedup import near_duplicates
 
@@ -85,10 +91,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_dedup, op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
 
 #: DuckDB SQL, for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op1_embedding_dedup": """
+        WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), pairs AS (
+            SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93
+        ), reach AS (
+            SELECT vec_id AS x, vec_id AS y FROM v UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON r.y = p.x
+        )
+        SELECT v.vec_id, (SELECT count(*) FROM pairs WHERE pairs.x = v.vec_id) AS n_links, min(y) AS component_id, v.vec_id = min(y) AS kept
+        FROM v JOIN reach ON reach.x = v.vec_id GROUP BY v.vec_id""",
     "op6_line_dedup": """
         WITH lines AS (
             SELECT doc_id, unnest(range(len(s))) AS i, unnest(s) AS line
