@@ -18,6 +18,18 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+#: Domains of the labelled table, and the shares of tokens that they should have.
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' WHEN quality = 0 THEN 'poor' END"
+TARGETS = {"good": 0.9, "poor": 0.1, "toxic": 0.0}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyharbor.llm.mixing import mixture
+
+    rated, domains = mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.expr(DOMAIN), TARGETS)
+    return rated.select(F.col("id").alias("doc_id"), "tokens", *(F.get("posterior", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(domains)), "rate")
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyharbor.llm.simhash_dedup import near_duplicates
 
@@ -91,7 +103,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_dedup, op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
 
 #: DuckDB SQL, for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
