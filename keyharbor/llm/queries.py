@@ -74,6 +74,20 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from keyharbor.llm.suffix_dedup import dedup_substrings
+
+    found = dedup_substrings(table(spark, sf_dir, "documents"), least=50)
+    n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        (F.length("kept") + n_removed).cast("long").alias("n_bytes"),
+        n_removed.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -103,7 +117,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op7_suffix_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
 
 #: DuckDB SQL, for the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
