@@ -1 +1 @@
-
+"""Registered queries over the sample tables."""
