@@ -90,7 +90,8 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: Column, settings:
         few = some.where(F.col("domain") == name).orderBy(F.xxhash64("_id"), "_id").limit(s.most_rows)
         chosen = few if chosen is None else chosen.unionByName(few)
     # most_rows rows of each domain at most: safe to broadcast.
-    joined = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"]).select("_id", "domain", F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    texts = docs.select(F.col(id_col).alias("_of"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    joined = texts.join(F.broadcast(chosen), F.col("_of") == F.col("_id")).select("_id", "domain", "t")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 2, 4 << 20):
@@ -229,4 +230,4 @@ def resampled(docs: DataFrame, rated: DataFrame, id_col: str = "doc_id", text_co
     by_text = rated.groupBy("id", "th").agg(F.max("rate").alias("rate")).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("rate").alias("_rate"))
     chance = F.shiftrightunsigned(F.xxhash64(id_col, text_col, F.lit(seed)), 11).cast("double") / float(1 << 53)
     joined = docs.join(by_text, docs[id_col].eqNullSafe(by_text["_id"]) & (F.xxhash64(docs[text_col]) == by_text["_th"]))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.floor(F.col("_rate") + chance).cast("int")))).select(*(docs[c] for c in docs.columns))
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.floor(by_text["_rate"] + chance).cast("int")))).select(*(docs[c] for c in docs.columns))

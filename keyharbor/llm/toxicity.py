@@ -78,7 +78,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most_row
     some = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1)").groupBy("_id").agg(F.max("y").alias("y"))
     take = lambda y: some.where(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
     chosen = take(0).unionByName(take(1))  # 2 * most_rows small rows at most: safe to broadcast
-    joined = docs.join(F.broadcast(chosen), docs[id_col] == chosen["_id"]).select("_id", "y", F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    texts = docs.select(F.col(id_col).alias("_of"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    joined = texts.join(F.broadcast(chosen), F.col("_of") == F.col("_id")).select("_id", "y", "t")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 2, 4 << 20):
