@@ -21,7 +21,7 @@ def unit_metres(unit: str) -> float:
 def distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column, unit: str = "km") -> Column:
     """Great-circle distance by the haversine formula."""
     a = F.pow(F.sin((F.radians(lat2) - F.radians(lat1)) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin((F.radians(lon2) - F.radians(lon1)) / 2), 2)
-    return 2 * RADIUS_M * F.asin(F.least(F.lit(1.0), F.sqrt(a))) / unit_metres(unit)
+    return 2 * RADIUS_M * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a))) / unit_metres(unit)
 
 
 def near_box(lon: Column, lat: Column, at_lon: float, at_lat: float, radius: float, unit: str) -> Column:

@@ -111,7 +111,7 @@ def _gap(n: int) -> str:
 
 def tag_values(field: Column, separator: str = ",", case_sensitive: bool = False) -> Column:
     """The tags of a field: its parts, trimmed; lower-cased unless case matters."""
-    parts = F.transform(F.split(field, re.escape(separator)), F.trim)
+    parts = F.transform(F.split(field, re.escape(separator)), lambda t: F.trim(t))
     return parts if case_sensitive else F.transform(parts, F.lower)
 
 

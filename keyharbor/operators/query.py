@@ -216,23 +216,22 @@ class Expr:
 
     # What runs
 
-    def to_column(self, context: Context | None = None) -> Column:
+    def to_column(self, context: Context | None = None, exact: bool = False) -> Column:
+        """The predicate as a filter: rows without a field fail its leaves, as null or (exact) as false. Plain comparisons stay plain, so that Parquet can skip by them."""
         c = context or Context()
         if self.op in ("and", "or"):
-            a, b = (p.to_column(c) for p in self.parts)
+            a, b = (p.to_column(c, exact) for p in self.parts)
             return a & b if self.op == "and" else a | b
         if self.op == "not":
-            return ~self.parts[0].to_column(c)
+            return ~self.parts[0].to_column(c, True)
         if self.op == "boost":
-            return self.parts[0].to_column(c)
+            return self.parts[0].to_column(c, exact)
         if self.op in ("optional", "all"):
             return F.lit(True)
         if self.op == "none":
             return F.lit(False)
-        if self.op == "raw":
-            return F.coalesce(F.expr(self.args[0]), F.lit(False))
         if self.op == "ne":
-            return ~replace(self, op="eq").to_column(c)
+            return ~replace(self, op="eq").to_column(c, True)
         if self.op == "null":
             return F.col(self.name).isNull()
         if self.op == "not_null":
@@ -241,7 +240,8 @@ class Expr:
             raise ValueError("the nearest k are no filter: use search(), with knn at the root or a filter before it")
         if self.op == "column":
             raise TypeError(f"field {self.name!r} is compared with nothing")
-        return F.coalesce(_LEAVES[self.op](self, c), F.lit(False))
+        found = F.expr(self.args[0]) if self.op == "raw" else _LEAVES[self.op](self, c)
+        return F.coalesce(found, F.lit(False)) if exact else found
 
     # Search syntax
 
