@@ -32,15 +32,16 @@ BLOCK = 512
 class Settings:
     """sample_rows: vectors that codebooks and calibration are fitted on, at most (the index holds every vector).
 
-    words: codewords of a half; the grid has words ** 2 cells. recall: target of the calibration. most_cells: cells that a query visits, at most.
+    words: codewords of a half; the grid has words ** 2 cells. If not given, 16 to 48 by the number of vectors. recall: share of
+    partners at the widest angle that a query alone finds (either of a pair may find the other, so pairs are missed more rarely). most_share: of the grid's cells, what a query visits at most.
     """
 
     least_cosine: float = 0.93
     sample_rows: int = 6000
-    words: int = 16
-    recall: float = 0.995
+    words: int | None = None
+    recall: float = 0.98
     rounds: int = 12
-    most_cells: int = 64
+    most_share: float = 0.25
     seed: int = 3
 
 
@@ -88,15 +89,16 @@ def fit_index(vectors: DataFrame, settings: Settings = Settings()) -> Index:
     """
     s = settings
     rng = np.random.default_rng(s.seed)
+    words = s.words or int(np.clip(round((vectors.count() / 200) ** 0.5), 16, 48))
     rows = vectors.select("v").orderBy(F.xxhash64("v")).limit(s.sample_rows).collect()
     x = _unit(np.array([r["v"] for r in rows], float))
     h = x.shape[1] // 2
-    index = Index(_codebook(x[:, :h], s.words, s.rounds, rng), _codebook(x[:, h:], s.words, s.rounds, rng), 1)
+    index = Index(_codebook(x[:, :h], words, s.rounds, rng), _codebook(x[:, h:], words, s.rounds, rng), 1)
     # Partners at exactly the least cosine are the hardest to find.
     side = rng.normal(size=x.shape)
     side = _unit(side - (side * x).sum(1, keepdims=True) * x)
     partner = s.least_cosine * x + np.sqrt(1 - s.least_cosine**2) * side
-    most = min(s.most_cells, len(index.first) * len(index.second))
+    most = max(1, int(s.most_share * len(index.first) * len(index.second)))
     visited, home = index.order(x, most), index.order(partner, 1)
     at = np.where((visited == home).any(axis=1), (visited == home).argmax(axis=1), most)
     index.visits = int(min(most, np.sort(at)[min(len(at) - 1, int(np.ceil(s.recall * len(at))))] + 1))
@@ -105,8 +107,8 @@ def fit_index(vectors: DataFrame, settings: Settings = Settings()) -> Index:
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
     """(id, label, v): vectors that can link. Null, zero, null or non-finite components, or a null label: none of these."""
-    v = F.col(vector_col).cast("array<double>")
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
+    v = F.col(vector_col)  # floats stay floats while they are moved; tasks compute in double precision
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf"))) & F.exists(v, lambda x: x != 0)
     return vectors.where(F.col(label_col).isNotNull() & F.col(vector_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), v.alias("v")).where(finite)
 
 
