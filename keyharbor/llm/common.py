@@ -33,6 +33,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def purge(spark: SparkSession) -> None:
+    """Deletes the intermediate tables in the shared folder, of all runs: for when results are saved and nothing else runs there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    for t in spark.catalog.listTables():
+        if t.name.startswith("keyharbor_blocks_"):
+            spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -29,6 +29,8 @@ from keyharbor.llm.components import components
 SEED = 42
 #: Rows of a block of a cell.
 BLOCK = 512
+#: Numbers of fingerprints beyond which cells get one band more.
+FULL = (30_000_000, 1_000_000_000)
 
 
 def _fingerprint(text: bytes, words: int) -> int:
@@ -101,12 +103,13 @@ def _forest(a: np.ndarray, b: np.ndarray, radius: int, segment_bits: int) -> lis
     return out
 
 
-def near_links(distinct: DataFrame, radius: int = 4, segment_bits: int = 2, bands: int = 6) -> DataFrame:
+def near_links(distinct: DataFrame, radius: int = 4, segment_bits: int = 2, bands: int | None = None) -> DataFrame:
     """(a, b): links between fingerprints (column fp, distinct) that join all those within the radius, however many agree in a cell.
 
-    bands: at least radius + 1; more bands make cells smaller and rows more (one for each choice of bands - radius). 6 suits
-    up to tens of millions of fingerprints, 7 or 8 more.
+    bands: over the radius; more make cells smaller and rows more (one for each choice of bands - radius), and results stay the same.
+    If not given, the number of fingerprints decides: radius + 2, and one more for each of the FULL that it passes.
     """
+    bands = bands or radius + 2 + sum(distinct.count() > n for n in FULL)
     chosen = list(combinations(range(bands), bands - radius))
     edges = [round(i * (64 // segment_bits) / bands) for i in range(bands + 1)]
     cells = [F.xxhash64(F.lit(k), *(F.slice("_vector", edges[b] + 1, edges[b + 1] - edges[b]) for b in c)) for k, c in enumerate(chosen)]
@@ -150,7 +153,7 @@ def near_links(distinct: DataFrame, radius: int = 4, segment_bits: int = 2, band
     return units.mapInArrow(linked, StructType([StructField("a", LongType()), StructField("b", LongType())]))
 
 
-def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, segment_bits: int = 2, bands: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4, segment_bits: int = 2, bands: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint string of 16 hex digits, component_id): the least id reachable over fingerprints that differ in `radius` bits or fewer.
 
     Null ids take part and are never a component_id unless no other id is there. Repeated rows stay. Empty and null
