@@ -350,7 +350,8 @@ def _joined(how: str, sql: str) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         c = kh.scan_hashes(hashes(table(spark, sf_dir, "customer"), "customer", "c_custkey"), "customer:*", {"c_custkey": int, "c_nationkey": int}, include_key=False)
         o = table(spark, sf_dir, "orders").where("o_totalprice > 200000").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice")
-        return c.join(o, "c_custkey", how)
+        out = c.join(o, "c_custkey", how)
+        return out.fillna({"o_orderkey": -1, "o_totalprice": -1.0}) if how == "left" else out
 
     query(f"join_{how.removeprefix('left_')}", sql)(run)
 
@@ -358,7 +359,7 @@ def _joined(how: str, sql: str) -> None:
 _BIG = "(SELECT o_custkey AS c_custkey, o_orderkey, o_totalprice FROM orders WHERE o_totalprice > 200000)"
 _CUSTOMER = "(SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer)"
 _joined("inner", f"SELECT * FROM {_CUSTOMER} JOIN {_BIG} USING (c_custkey)")
-_joined("left", f"SELECT * FROM {_CUSTOMER} LEFT JOIN {_BIG} USING (c_custkey)")
+_joined("left", f"SELECT c_custkey, c_nationkey, coalesce(o_orderkey, -1) AS o_orderkey, coalesce(o_totalprice, -1) AS o_totalprice FROM {_CUSTOMER} LEFT JOIN {_BIG} USING (c_custkey)")
 _joined("left_semi", f"SELECT * FROM {_CUSTOMER} SEMI JOIN {_BIG} USING (c_custkey)")
 _joined("left_anti", f"SELECT * FROM {_CUSTOMER} ANTI JOIN {_BIG} USING (c_custkey)")
 
