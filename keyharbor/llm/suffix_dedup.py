@@ -35,13 +35,13 @@ from keyharbor.llm.common import parts_for, pieces, shared_dir, written
 from keyharbor.llm.suffix_array import long_enough, suffix_array, words64
 
 #: Bytes of text of a block.
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 #: Bytes of an anchor.
 GRAM = 20
 #: Windows of a stretch, at most.
 LONGEST = 64
 #: Versions of an anchor beyond which it is dealt by windows.
-MANY = 64
+MANY = 2000
 #: Bytes of text that one suffix array is built over, about; a shard with more is worked in parts, by anchor.
 SORTED = 2 << 20
 #: Null ids: later than any other.
@@ -80,6 +80,7 @@ class Stretches:
         w = words64(data)
         m = n - GRAM + 1
         grams = _mixed(w[:m] * _MIX[0] ^ _mixed(w[8 : m + 8]) + w[GRAM - 8 : m + GRAM - 8])
+        del w
         span = least - GRAM + 1  # grams of a window
         low, width = grams, 1
         while width * 2 <= span:
@@ -95,7 +96,7 @@ class Stretches:
         within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         self.start = np.repeat(start, parts) + LONGEST * within
         self.count = np.minimum(LONGEST, np.repeat(count, parts) - LONGEST * within)
-        self.doc, self.h = docs[self.start], low[self.start]
+        self.doc, self.h = docs[self.start], _mixed(low[self.start])  # mixed anew: the least of many hashes are small numbers
         self.sums = np.concatenate(([np.uint64(0)], np.cumsum(grams * _powers(BLOCK + 2 if m <= BLOCK else m + 2)[0][:m], dtype=np.uint64)))
         self.span = span
         self.g = self.hash_of(self.start, self.count)
@@ -117,15 +118,21 @@ class Stretches:
         return order[first], own
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    raw = b"".join(a.tobytes() for a in arrays)
+def _packed(raw: bytes) -> bytes:
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
+def _opened(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], decompressed_size=int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _pack(*arrays: np.ndarray) -> bytes:
+    return _packed(b"".join(a.tobytes() for a in arrays))
+
+
 def _unpack(packed: bytes, *types: str) -> list[np.ndarray]:
-    size = int.from_bytes(packed[:8], "little")
-    raw = pa.decompress(packed[8:], decompressed_size=size, codec="zstd", asbytes=True)
-    n = size // sum(np.dtype(t).itemsize for t in types)
+    raw = _opened(packed)
+    n = len(raw) // sum(np.dtype(t).itemsize for t in types)
     out, at = [], 0
     for t in types:
         out.append(np.frombuffer(raw, t, count=n, offset=at))
@@ -138,7 +145,7 @@ def _ids(block_ids: list[int | None]) -> np.ndarray:
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(block, ids, ends, data): documents packed into blocks, as a table bucketed by block."""
+    """(block, ids, ends, data): documents packed into blocks (data: their bytes, packed), as a table bucketed by block. Each task writes one bucket."""
     spark = docs.sparkSession
     schema = StructType([StructField("block", LongType()), StructField("ids", ArrayType(LongType())), StructField("ends", ArrayType(IntegerType())), StructField("data", BinaryType())])
 
@@ -147,13 +154,13 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in pieces(batches, 1, BLOCK):
             texts = pc.fill_null(batch.column(1), "").cast(pa.binary())
             ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
-            row = [[block], [batch.column(0).to_pylist()], [ends.tolist()], [b"".join(texts.to_pylist())]]
+            row = [[block], [batch.column(0).to_pylist()], [ends.tolist()], [_packed(b"".join(texts.to_pylist()))]]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(row, (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()), strict=True)], names=schema.names)
             block += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(packed, schema)
-    name = f"keyharbor_blocks_{uuid.uuid4().hex}"
-    rows.write.bucketBy(parts_for(spark), "block").option("compression", "zstd").option("path", f"{shared_dir(spark)}/tables/{name}").saveAsTable(name)
+    name, parts = f"keyharbor_blocks_{uuid.uuid4().hex}", parts_for(spark)
+    rows.repartition(parts, "block").write.bucketBy(parts, "block").option("compression", "none").option("path", f"{shared_dir(spark)}/tables/{name}").saveAsTable(name)
     return spark.table(name)
 
 
@@ -162,9 +169,9 @@ def _questions(packed: DataFrame, least: int, buckets: int) -> DataFrame:
     schema = StructType([StructField("bucket", IntegerType()), StructField("block", LongType()), StructField("asked", BinaryType())])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
             for block, ids, ends, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = _ids(ids)
+                ids, data = _ids(ids), _opened(data)
                 s = Stretches(np.frombuffer(data, np.uint8), np.array(ends), least)
                 v, _ = s.versions(ids)
                 h, g, d = s.h[v], s.g[v], ids[s.doc[v]]
@@ -210,43 +217,49 @@ def _answers(questions: DataFrame) -> DataFrame:
     return questions.groupBy("bucket").applyInArrow(tell, schema)
 
 
-def _decided(ids: list, ends: list, data: bytes, told: list | None, least: int) -> tuple[Stretches, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's stretches, its ids, the versions' stretches and answers, and which stretches go as a whole."""
-    ids = _ids(ids)
-    s = Stretches(np.frombuffer(data, np.uint8), np.array(ends), least)
-    v, own = s.versions(ids)
-    codes = np.concatenate([_unpack(x["told"], "u1")[0] for x in sorted(told or [], key=lambda x: x["bucket"])] + [np.zeros(0, np.uint8)])
-    goes = (codes[own] == GOES) | (ids[s.doc] > ids[s.doc[v]][own])
-    return s, ids, v, codes, goes
+def _covered(n: int, start: np.ndarray, count: np.ndarray, least: int) -> np.ndarray:
+    """Edges (start, end, start, end ...) of the bytes of a block of n bytes that windows cover: `count` of them from each start."""
+    depth = np.zeros(n + 1, np.int32)
+    np.add.at(depth, start, 1)
+    np.add.at(depth, start + count + least - 1, -1)
+    return np.flatnonzero(np.diff((np.cumsum(depth)[:-1] > 0).astype(np.int8), prepend=0, append=0))
 
 
 SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
 
 
-def _candidates(told: DataFrame, least: int, shards: int) -> DataFrame:
-    """(shard, key, block, start, id, text): what shards sort: versions of an anchor, or the windows of those that are spread."""
-    schema = StructType([StructField("shard", IntegerType()), StructField("key", LongType()), StructField("block", LongType()), StructField("start", IntegerType()), StructField("id", LongType()), StructField("text", BinaryType())])
+def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
+    """For each block a row with `gone`, edges of the bytes that go by its answers (shard null); and (shard, key, block, start, id, text) of what shards
+    sort: versions of an anchor, or the windows of those that are spread."""
+    schema = StructType([StructField("shard", IntegerType()), StructField("key", LongType()), StructField("block", LongType()), StructField("start", IntegerType()), StructField("id", LongType()), StructField("text", BinaryType()), StructField("gone", ArrayType(IntegerType()))])
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
+    row = lambda *columns: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, ids, ends, data, told in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s, ids, v, codes, _ = _decided(ids, ends, data, told, least)
-                a, b = v[codes == COMPARE], v[codes == SPREAD]
-                # Spread versions go window by window: equal windows have equal keys, whatever their anchor's other versions are.
-                reps = s.count[b]
-                start = np.repeat(s.start[b], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-                window = s.hash_of(start, np.ones(len(start), np.int64)) if len(start) else start.astype(np.uint64)
-                key = np.concatenate((s.h[a], window)).view(np.int64)
-                starts = np.concatenate((s.start[a], start))
-                size = np.concatenate((s.count[a], np.ones(len(start), np.int64))) + least - 1
-                owner = np.concatenate((ids[s.doc[a]], ids[np.repeat(s.doc[b], reps)]))
-                texts = [data[x : x + n] for x, n in zip(starts.tolist(), size.tolist(), strict=True)]
-                shard = (key.view(np.uint64) % np.uint64(shards)).astype(np.int32)
-                for i in range(0, len(key), 20_000):
-                    z = slice(i, i + 20_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(shard[z]), pa.array(key[z]), pa.array(np.full(len(key[z]), block), pa.int64()), pa.array(starts[z], pa.int32()), pa.array(owner[z]), pa.array(texts[z], pa.binary())], names=schema.names)
-
-    return told.select("block", "ids", "ends", "data", "told").mapInArrow(pick, schema)
+        for batch in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
+            ((block, ids, ends, data, told),) = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            ids, data = _ids(ids), _opened(data)
+            s = Stretches(np.frombuffer(data, np.uint8), np.array(ends), least)
+            v, own = s.versions(ids)
+            codes = np.concatenate([_unpack(x["told"], "u1")[0] for x in sorted(told or [], key=lambda x: x["bucket"])] + [np.zeros(0, np.uint8)])
+            goes = (codes[own] == GOES) | (ids[s.doc] > ids[s.doc[v]][own])
+            yield row([None], [None], [block], [None], [None], [None], [_covered(len(data), s.start[goes], s.count[goes], least)])
+            a, b = v[codes == COMPARE], v[codes == SPREAD]
+            # Spread versions go window by window: equal windows have equal keys, whatever their anchor's other versions are.
+            reps = s.count[b]
+            start = np.repeat(s.start[b], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+            window = s.hash_of(start, np.ones(len(start), np.int64)) if len(start) else start.astype(np.uint64)
+            key = np.concatenate((s.h[a], window)).view(np.int64)
+            starts = np.concatenate((s.start[a], start))
+            size = np.concatenate((s.count[a], np.ones(len(start), np.int64))) + least - 1
+            owner = np.concatenate((ids[s.doc[a]], ids[np.repeat(s.doc[b], reps)]))
+            shard = (key.view(np.uint64) % np.uint64(shards)).astype(np.int32)
+            for i in range(0, len(key), 20_000):
+                z = slice(i, i + 20_000)
+                texts = [data[x : x + n] for x, n in zip(starts[z].tolist(), size[z].tolist(), strict=True)]
+                yield row(shard[z], key[z], np.full(len(texts), block), starts[z].astype(np.int32), owner[z], texts, [None] * len(texts))
+
+    return known.select("block", "ids", "ends", "data", "told").mapInArrow(pick, schema)
 
 
 def repeated(texts: list[bytes], ids: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -296,25 +309,23 @@ def _cut(found: DataFrame, least: int) -> DataFrame:
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, ends, data, told, windows in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                s, _, _, _, goes = _decided(ids, ends, data, told, least)
-                start = np.concatenate((s.start[goes], np.array([w["start"] for w in windows or []], np.int64)))
-                count = np.concatenate((s.count[goes], np.array([w["count"] for w in windows or []], np.int64)))
-                depth = np.zeros(len(data) + 1, np.int32)
-                np.add.at(depth, start, 1)
-                np.add.at(depth, start + count + least - 1, -1)
-                gone = np.cumsum(depth)[:-1] > 0
-                raw, begin, kept, removed = np.frombuffer(data, np.uint8), 0, [], []
-                for end in ends:
-                    mine = gone[begin:end]
-                    edges = np.flatnonzero(np.diff(np.concatenate(([0], mine.view(np.int8), [0])))).tolist()
-                    kept.append(raw[begin:end][~mine].tobytes() if edges else data[begin:end])
-                    removed.append([{"start": a, "end": z} for a, z in zip(edges[::2], edges[1::2], strict=True)])
-                    begin = end
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, span_type)], names=schema.names)
-
-    return found.select("ids", "ends", "data", "told", "windows").mapInArrow(cut, schema)
+        for batch in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
+            ((ids, ends, data, gone, windows),) = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            data = _opened(data)
+            raw, mask, begin, kept, removed = np.frombuffer(data, np.uint8), np.zeros(len(data), bool), 0, [], []
+            more = _covered(len(data), np.array([w["start"] for w in windows or []], np.int64), np.array([w["count"] for w in windows or []], np.int64), least)
+            for edges in (gone or [], more.tolist()):
+                for a, z in zip(edges[::2], edges[1::2], strict=True):
+                    mask[a:z] = True
+            for end in ends:
+                mine = mask[begin:end]
+                edges = np.flatnonzero(np.diff(mine.view(np.int8), prepend=0, append=0)).tolist()
+                kept.append(raw[begin:end][~mine].tobytes() if edges else data[begin:end])
+                removed.append([{"start": a, "end": z} for a, z in zip(edges[::2], edges[1::2], strict=True)])
+                begin = end
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, span_type)], names=schema.names)
+
+    return found.select("ids", "ends", "data", "gone", "windows").mapInArrow(cut, schema)
 
 
 def dedup_substrings(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -329,8 +340,10 @@ def dedup_substrings(docs: DataFrame, least: int = 50, id_col: str = "doc_id", t
     parts = parts_for(docs.sparkSession)
     packed = blocks(docs, id_col, text_col)
     answers = _answers(_questions(packed, least, 2 * parts))
-    told = written(answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "told")).alias("told")).withColumnRenamed("block", "_block"), "told")
-    known = packed.join(told, packed["block"] == told["_block"], "left")
-    windows = written(_sorted_shards(_candidates(known, least, 2 * parts), least), "windows")
+    told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "told")).alias("told")).withColumnRenamed("block", "_block")
+    picked = written(_picked(packed.join(told, packed["block"] == told["_block"], "left"), least, 2 * parts), "picked")
+    gone = picked.where("shard IS NULL").select(F.col("block").alias("_gone_of"), "gone")
+    windows = written(_sorted_shards(picked.where("shard IS NOT NULL").drop("gone"), least), "windows")
     windows = windows.groupBy("block").agg(F.collect_list(F.struct("start", "count")).alias("windows")).withColumnRenamed("block", "_of")
-    return _cut(known.join(windows, known["block"] == windows["_of"], "left"), least).withColumnRenamed("id", id_col)
+    known = packed.join(gone, packed["block"] == gone["_gone_of"]).join(windows, packed["block"] == windows["_of"], "left")
+    return _cut(known, least).withColumnRenamed("id", id_col)
