@@ -339,7 +339,8 @@ def dedup_substrings(docs: DataFrame, least: int = 50, id_col: str = "doc_id", t
         raise ValueError(f"least is over {GRAM}")
     parts = parts_for(docs.sparkSession)
     packed = blocks(docs, id_col, text_col)
-    answers = _answers(_questions(packed, least, 2 * parts))
+    # A bucket's questions are held by one task: their number follows the text, whatever the number of partitions is.
+    answers = _answers(_questions(packed, least, max(2 * parts, packed.count() // 8)))
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "told")).alias("told")).withColumnRenamed("block", "_block")
     picked = written(_picked(packed.join(told, packed["block"] == told["_block"], "left"), least, 2 * parts), "picked")
     gone = picked.where("shard IS NULL").select(F.col("block").alias("_gone_of"), "gone")
