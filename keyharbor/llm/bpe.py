@@ -23,7 +23,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from keyharbor.llm.common import pieces
 
 #: Bytes of text of a shard.
-SHARD = 8 << 20
+SHARD = 4 << 20
 #: Words of more bytes are merged one by one, through a heap of their own.
 LONG = 256
 
