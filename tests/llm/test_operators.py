@@ -321,7 +321,7 @@ def test_every_rule_is_found_through_the_index(spark):
 @pytest.fixture(scope="module")
 def labelled(spark):
     rng = np.random.default_rng(9)
-    plain = [f"w{k}" for k in range(300)]
+    plain = ["q" + "".join(chr(97 + int(d)) for d in str(k)) for k in range(300)]
     rows, labels = [], []
     for i in range(1200):
         said = list(rng.choice(plain, rng.integers(5, 40)))
