@@ -8,6 +8,7 @@ on that bounded sample and scores every text in one map stage.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,17 +30,21 @@ STARTS = (4, 5, 6)
 
 @dataclass(frozen=True)
 class Settings:
-    """most_rows: labelled rows of each class that are learned from, at most. most_terms: terms of the machine, at most."""
+    """most_rows: labelled rows of each class that are learned from, at most. most_terms: terms of the machine, at most.
+
+    surprise: a term is taken if its G passes 2 ln(terms looked at) by this much, so that hardly any of very many terms is taken by chance.
+    """
 
     most_rows: int = 6000
     most_terms: int = 4096
     least_docs: int = 3
-    least_gain: float = 10.0
+    surprise: float = 0.0
     factors: int = 8
     epochs: int = 40
     batch: int = 256
     rate: float = 0.05
-    decay: float = 1e-3
+    decay: float = 0.02
+    factor_decay: float = 0.2
     seed: int = 5
 
 
@@ -74,7 +79,7 @@ def terms_of(text: str) -> list[int]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most_rows: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, y, terms) of at most most_rows labelled rows of each class (those whose ids have the least hashes), each id once."""
+    """(id, y, terms) of at most most_rows labelled rows of each class (those whose ids have the least hashes), near copies once."""
     some = labels.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("y")).where("y IN (0, 1)").groupBy("_id").agg(F.max("y").alias("y"))
     take = lambda y: some.where(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(most_rows)
     chosen = take(0).unionByName(take(1))  # 2 * most_rows small rows at most: safe to broadcast
@@ -87,7 +92,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, most_row
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], names=["id", "y", "terms"])
 
     schema = StructType([StructField("id", chosen.schema["_id"].dataType), StructField("y", IntegerType()), StructField("terms", ArrayType(LongType()))])
-    return joined.mapInArrow(read, schema).dropDuplicates(["id"])
+    # Copies of a text would make all of its words look telling: of texts that agree in their least terms, one (of the least id) stays.
+    rows = joined.mapInArrow(read, schema)
+    return rows.groupBy("y", F.slice("terms", 1, 4).alias("k")).agg(F.min(F.struct("id", "terms")).alias("r")).select("r.id", "y", "r.terms")
 
 
 def _informative(sample: DataFrame, n_pos: int, n_neg: int, s: Settings) -> np.ndarray:
@@ -97,7 +104,9 @@ def _informative(sample: DataFrame, n_pos: int, n_neg: int, s: Settings) -> np.n
     a, b = F.col("a"), F.col("b")
     part = lambda seen, of_class, with_term: F.when(seen > 0, seen * F.log(seen * n / (of_class * with_term))).otherwise(0.0)
     g = 2 * (part(a, F.lit(n_pos), a + b) + part(b, F.lit(n_neg), a + b) + part(n_pos - a, F.lit(n_pos), n - a - b) + part(n_neg - b, F.lit(n_neg), n - a - b))
-    best = counts.where(a + b >= s.least_docs).select("term", g.alias("g")).where(F.col("g") >= s.least_gain).orderBy(F.desc("g"), "term").limit(s.most_terms)
+    seen = counts.where(a + b >= s.least_docs).select("term", g.alias("g"))
+    least = 2 * math.log(max(seen.count(), 1)) + s.surprise
+    best = seen.where(F.col("g") >= least).orderBy(F.desc("g"), "term").limit(s.most_terms)
     return np.sort(np.array([r["term"] for r in best.collect()], np.int64))
 
 
@@ -126,7 +135,11 @@ def _prior(labels: DataFrame, label_col: str) -> float:
 
 
 def _trained(data: list[tuple], terms: np.ndarray, n_pos: int, n_neg: int, prior: float, s: Settings) -> Machine:
-    """Adam on the log loss, classes weighted to the prior that the labels have."""
+    """Adam on the log loss, classes weighted to the prior that the labels have.
+
+    Weights and factors shrink at every step by themselves (not through the gradient, which Adam would scale up again): terms of few
+    texts stay small, and many of them in one long text don't add up to a verdict.
+    """
     rng = np.random.default_rng(s.seed)
     m = Machine(float(np.log(prior / (1 - prior))), terms, np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), s.factors)))
     if not len(terms):
@@ -150,7 +163,7 @@ def _trained(data: list[tuple], terms: np.ndarray, n_pos: int, n_neg: int, prior
             v = m.factors[rows]
             sums = np.zeros((len(lot), s.factors))
             np.add.at(sums, of, v)
-            grads = [np.array([d.sum()]), np.bincount(rows, d[of], len(terms)) + s.decay * m.weights, s.decay * m.factors]
+            grads = [np.array([d.sum()]), np.bincount(rows, d[of], len(terms)), np.zeros_like(m.factors)]
             np.add.at(grads[2], rows, d[of, None] * (sums[of] - v))
             step += 1
             moves = []
@@ -159,8 +172,8 @@ def _trained(data: list[tuple], terms: np.ndarray, n_pos: int, n_neg: int, prior
                 mom[1][:] = 0.999 * mom[1] + 0.001 * g * g
                 moves.append(s.rate * (mom[0] / (1 - 0.9**step)) / (np.sqrt(mom[1] / (1 - 0.999**step)) + 1e-8))
             m.bias -= float(moves[0][0])
-            m.weights -= moves[1]
-            m.factors -= moves[2]
+            m.weights -= moves[1] + s.rate * s.decay * m.weights
+            m.factors -= moves[2] + s.rate * s.factor_decay * m.factors
     return m
 
 
