@@ -31,7 +31,7 @@ class Fences:
 
     accuracy: int = 1000
     least_rows: int = 50
-    signals: tuple[tuple[str, float, float], ...] = (("mean_word", 6.0, 4.0), ("symbol_share", 6.0, 0.06), ("upper_share", 6.0, 0.3), ("dup_line_share", 6.0, 0.5), ("repeat_share", 6.0, 0.2))
+    signals: tuple[tuple[str, float, float], ...] = (("mean_word", 6.0, 4.0), ("symbol_share", 6.0, 0.08), ("upper_share", 6.0, 0.3), ("dup_line_share", 6.0, 0.5), ("repeat_share", 6.0, 0.2))
 
 
 def _over(part: Column, whole: Column) -> Column:
