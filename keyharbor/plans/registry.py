@@ -118,7 +118,7 @@ def scan_hashes_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.scan_hashes(o, "order:*", {"o_orderdate": "datetime", "day": "date"})
 
 
-@query("scan_hashes_index_ttl", "SELECT row_number() OVER (ORDER BY 'nation:' || n_nationkey) - 1 AS _index, 'nation:' || n_nationkey AS _key, CASE WHEN n_nationkey % 3 = 0 THEN -1 ELSE 60 + n_nationkey END AS _ttl, n_name FROM nation WHERE n_nationkey % 3 <> 1")
+@query("scan_hashes_index_ttl", "SELECT row_number() OVER (ORDER BY 'nation:' || n_nationkey) - 1 AS _index, 'nation:' || n_nationkey AS _key, CAST(CASE WHEN n_nationkey % 3 = 0 THEN -1 ELSE 60 + n_nationkey END AS BIGINT) AS _ttl, n_name FROM nation WHERE n_nationkey % 3 <> 1")
 def scan_hashes_index_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey").cast("int")
     h = hashes(table(spark, sf_dir, "nation"), "nation", "n_nationkey").withColumn("_expire_at", F.when(k % 3 == 0, None).when(k % 3 == 1, 999.0).otherwise(1060.0 + k))
@@ -211,7 +211,7 @@ def ts_count_per_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.scan_timeseries(event_series(spark, sf_dir), "ts:*", aggregation="sum", bucket_size_ms=3600000, count_per_series=2).select("_key", "_ts", rounded("value"))
 
 
-@query("key_info", "SELECT 'nation:' || n_nationkey AS key, 'hash' AS key_type, -1 AS ttl FROM nation UNION ALL SELECT 'region:' || r_regionkey, 'string', -1 FROM region")
+@query("key_info", "SELECT 'nation:' || n_nationkey AS key, 'hash' AS key_type, CAST(-1 AS BIGINT) AS ttl FROM nation UNION ALL SELECT 'region:' || r_regionkey, 'string', -1 FROM region")
 def key_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = keyed(table(spark, sf_dir, "region"), "region", "r_regionkey").select("_key", F.col("r_name").alias("value"))
     return kh.key_info({"hash": hashes(table(spark, sf_dir, "nation"), "nation", "n_nationkey"), "string": r}).select("key", "key_type", "ttl")
@@ -475,7 +475,7 @@ def rename_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renamed(n.select("_key", "n_name"), names)
 
 
-@query("infer_schema", "SELECT * FROM (VALUES ('event_id', 'long', 1.0), ('event_type', 'string', 1.0), ('props', 'string', 1.0), ('ts', 'string', 1.0), ('user_id', 'long', 1.0), ('value', 'double', 1.0)) t(field, type, confidence)")
+@query("infer_schema", "SELECT field, type, CAST(confidence AS DOUBLE) AS confidence FROM (VALUES ('event_id', 'long', 1.0), ('event_type', 'string', 1.0), ('props', 'string', 1.0), ('ts', 'string', 1.0), ('user_id', 'long', 1.0), ('value', 'double', 1.0)) t(field, type, confidence)")
 def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = kh.infer_hash_schema_with_confidence(hashes(table(spark, sf_dir, "events"), "event", "event_id"), 1000)
     return spark.createDataFrame([(n, i.type, i.confidence) for n, i in found.field_info.items()], "field string, type string, confidence double")
