@@ -26,6 +26,10 @@ from keyharbor.llm.components import components
 
 #: Rows of a block of an index cell, and of the queries that visit it.
 BLOCK = 512
+#: A grid of so few cells is visited as a whole.
+FEW = 16
+#: Parts that a cell's rows are dealt in before they are cut into blocks.
+SALTS = 16
 
 
 @dataclass(frozen=True)
@@ -68,7 +72,8 @@ class Index:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+    n = np.linalg.norm(x, axis=1, keepdims=True)
+    return x / np.where(n == 0, 1, n)
 
 
 def _codebook(x: np.ndarray, words: int, rounds: int, rng: np.random.Generator) -> np.ndarray:
@@ -98,10 +103,11 @@ def fit_index(vectors: DataFrame, settings: Settings = Settings()) -> Index:
     side = rng.normal(size=x.shape)
     side = _unit(side - (side * x).sum(1, keepdims=True) * x)
     partner = s.least_cosine * x + np.sqrt(1 - s.least_cosine**2) * side
-    most = max(1, int(s.most_share * len(index.first) * len(index.second)))
+    cells = len(index.first) * len(index.second)
+    most = max(min(cells, FEW), int(s.most_share * cells))
     visited, home = index.order(x, most), index.order(partner, 1)
     at = np.where((visited == home).any(axis=1), (visited == home).argmax(axis=1), most)
-    index.visits = int(min(most, np.sort(at)[min(len(at) - 1, int(np.ceil(s.recall * len(at))))] + 1))
+    index.visits = most if cells <= FEW else int(min(most, np.sort(at)[min(len(at) - 1, int(np.ceil(s.recall * len(at))))] + 1))
     return index
 
 
@@ -135,10 +141,13 @@ def links(vectors: DataFrame, index: Index, settings: Settings = Settings()) ->
     sizes = members.groupBy("group", "cell").agg(F.count(F.lit(1)).alias("m"))
     sizes = sizes.join(visitors.groupBy("group", "cell").agg(F.count(F.lit(1)).alias("q")), ["group", "cell"])
     sizes = sizes.select("group", "cell", F.ceil(F.col("m") / BLOCK).cast("int").alias("mb"), F.ceil(F.col("q") / BLOCK).cast("int").alias("qb"))
+    # Rows meet their cell's size under a salt, so that a cell of very many rows isn't dealt to one task before it is cut.
+    salt = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(SALTS)).cast("int").alias("salt")
+    sizes = sizes.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     block = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = members.join(sizes, ["group", "cell"]).select("node", "group", "cell", "v", "visits", block(F.col("mb")).alias("i"), every("qb").alias("j"))
-    right = visitors.join(sizes, ["group", "cell"]).select("node", "group", "cell", "v", "home", block(F.col("qb")).alias("j"), every("mb").alias("i"))
+    left = members.select("*", salt).join(sizes, ["group", "cell", "salt"]).select("node", "group", "cell", "v", "visits", block(F.col("mb")).alias("i"), every("qb").alias("j"))
+    right = visitors.select("*", salt).join(sizes, ["group", "cell", "salt"]).select("node", "group", "cell", "v", "home", block(F.col("qb")).alias("j"), every("mb").alias("i"))
     right = right.select(*(F.col(c).alias(f"_{c}") for c in right.columns)).toDF(*right.columns)  # columns of its own, though it comes from the same table
     keys = ["group", "cell", "i", "j"]
     out = pa.schema([("node", pa.int64()), ("partner", pa.int64()), ("n", pa.int64())])
@@ -180,19 +189,20 @@ def near_duplicates(vectors: DataFrame, settings: Settings = Settings(), id_col:
     """(id, n_links, component_id, kept) of every row: vectors of equal label with a cosine of least_cosine or more link.
 
     n_links: other rows linked directly. component_id: least id reachable, the row's own included. kept: the id is that one. Rows that
-    can't link (usable()) stand alone. Rows of one id (repeats) are linked by their own vectors each; a null id never is a component_id
+    can't link (usable()) stand alone; vectors link with those of their own length. Rows of one id (repeats) are linked by their own vectors each; a null id never is a component_id
     unless alone. An empty table gives no rows.
     """
     numbered = written(vectors.select(id_col, vector_col, label_col).withColumn("node", F.monotonically_increasing_id()), "vectors")
     good = usable(numbered, "node", vector_col, label_col)
-    if good.isEmpty():
-        found = None
-    else:
-        sized = good.where(F.size("v") == good.agg(F.max(F.size("v"))).first()[0])
-        nodes = sized.select(F.col("id").alias("node"), F.xxhash64("label").alias("group"), "v")
-        found = written(links(nodes, fit_index(nodes, settings), settings), "links")
+    nodes = good.select(F.col("id").alias("node"), F.xxhash64("label").alias("group"), "v")
+    found = None
+    for r in sorted(nodes.select(F.size("v").alias("n")).distinct().collect()):  # lengths of vectors: one, as a rule
+        sized = nodes.where(F.size("v") == r["n"])
+        these = links(sized, fit_index(sized, settings), settings)
+        found = these if found is None else found.unionByName(these)
     if found is None:
         return numbered.select(id_col, F.lit(0).cast("long").alias("n_links"), F.col(id_col).alias("component_id"), F.lit(True).alias("kept"))
+    found = written(found, "links")
     counts = found.where("partner IS NULL").groupBy("node").agg(F.sum("n").alias("n_links"))
     parts = components(found.where("partner IS NOT NULL"), "node", "partner").withColumnRenamed("node", "_node")
     joined = numbered.select(id_col, "node").join(counts, "node", "left").join(parts, F.col("node") == F.col("_node"), "left").select(id_col, "n_links", F.coalesce("component", "node").alias("part"))
