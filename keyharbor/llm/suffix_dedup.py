@@ -243,16 +243,24 @@ def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
             v, own = s.versions(ids)
             codes = np.concatenate([_unpack(x["told"], "u1")[0] for x in sorted(told or [], key=lambda x: x["bucket"])] + [np.zeros(0, np.uint8)])
             goes = (codes[own] == GOES) | (ids[s.doc] > ids[s.doc[v]][own])
-            yield row([None], [None], [block], [None], [None], [None], [_covered(len(data), s.start[goes], s.count[goes], least)])
             a, b = v[codes == COMPARE], v[codes == SPREAD]
-            # Spread versions go window by window: equal windows have equal keys, whatever their anchor's other versions are.
+            # Spread versions go window by window: equal windows have equal keys, whatever their anchor's other versions are. A block sends
+            # a window for its least id only; later ids of the block lose theirs here.
             reps = s.count[b]
             start = np.repeat(s.start[b], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
             window = s.hash_of(start, np.ones(len(start), np.int64)) if len(start) else start.astype(np.uint64)
+            who = ids[np.repeat(s.doc[b], reps)]
+            order = np.lexsort((who, window))
+            start, window, who = start[order], window[order], who[order]
+            heads = np.flatnonzero(np.append(True, window[1:] != window[:-1])[: len(window)])
+            later = who > np.repeat(who[heads], np.diff(np.append(heads, len(who))))
+            gone = _covered(len(data), np.concatenate((s.start[goes], start[later])), np.concatenate((s.count[goes], np.ones(later.sum(), np.int64))), least)
+            yield row([None], [None], [block], [None], [None], [None], [gone])
+            start, window, who = start[~later], window[~later], who[~later]
             key = np.concatenate((s.h[a], window)).view(np.int64)
             starts = np.concatenate((s.start[a], start))
             size = np.concatenate((s.count[a], np.ones(len(start), np.int64))) + least - 1
-            owner = np.concatenate((ids[s.doc[a]], ids[np.repeat(s.doc[b], reps)]))
+            owner = np.concatenate((ids[s.doc[a]], who))
             shard = (key.view(np.uint64) % np.uint64(shards)).astype(np.int32)
             for i in range(0, len(key), 20_000):
                 z = slice(i, i + 20_000)
