@@ -11,7 +11,7 @@ task, so text is routed to shards by content:
    anchor has several versions need more; one copy of each version goes to the anchor's shard.
 4. A shard sorts its suffixes by induced sorting and takes the common prefixes: suffixes that share `least` bytes are neighbours, and
    all but those of the smallest id among them are found again.
-5. Blocks take what was found and cut their documents.
+5. Blocks take what was found, at every place of their documents that has the version sent, and cut them.
 
 A very common string is one version for each block that holds it, however many documents do. An anchor with
 very many versions is dealt by whole windows instead of by anchor, so that no shard depends on one anchor.
@@ -225,14 +225,28 @@ def _covered(n: int, start: np.ndarray, count: np.ndarray, least: int) -> np.nda
     return np.flatnonzero(np.diff((np.cumsum(depth)[:-1] > 0).astype(np.int8), prepend=0, append=0))
 
 
+def _everywhere(start: np.ndarray, count: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (start, count), and the same windows of each further place. places: rows (start of a stretch sent, start of one alike, windows of either), in order; windows lie within stretches sent."""
+    sent, alike = places[:, 0], places[:, 1]
+    if not len(sent):
+        return start, count
+    at = np.searchsorted(sent, start, side="right") - 1  # the last stretch with a further place that begins by then
+    lies = (at >= 0) & (start < sent[at] + places[at, 2])
+    first = np.searchsorted(sent, sent[at])
+    n = np.where(lies, at + 1 - first, 0)
+    row = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    more = np.repeat(start, n) + alike[row] - sent[row]
+    return np.concatenate((start, more)), np.concatenate((count, np.repeat(count, n)))
+
+
 SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
 
 
 def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
-    """For each block a row with `gone`, edges of the bytes that go by its answers (shard null); and (shard, key, block, start, id, text) of what shards
+    """For each block a row with `gone`, edges of the bytes that go by its answers, and `places`, where its documents have what is sent once (shard null); and (shard, key, block, start, id, text) of what shards
     sort: versions of an anchor, or the windows of those that are spread."""
-    schema = StructType([StructField("shard", IntegerType()), StructField("key", LongType()), StructField("block", LongType()), StructField("start", IntegerType()), StructField("id", LongType()), StructField("text", BinaryType()), StructField("gone", ArrayType(IntegerType()))])
-    types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32()))
+    schema = StructType([StructField("shard", IntegerType()), StructField("key", LongType()), StructField("block", LongType()), StructField("start", IntegerType()), StructField("id", LongType()), StructField("text", BinaryType()), StructField("gone", ArrayType(IntegerType())), StructField("places", ArrayType(IntegerType()))])
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))
     row = lambda *columns: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,6 +258,10 @@ def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
             codes = np.concatenate([_unpack(x["told"], "u1")[0] for x in sorted(told or [], key=lambda x: x["bucket"])] + [np.zeros(0, np.uint8)])
             goes = (codes[own] == GOES) | (ids[s.doc] > ids[s.doc[v]][own])
             a, b = v[codes == COMPARE], v[codes == SPREAD]
+            # The least id may have a version again: what is found for the stretch sent holds there too.
+            again = np.flatnonzero((codes[own] >= COMPARE) & ~goes & (v[own] != np.arange(len(own))))
+            places = np.stack((s.start[v[own[again]]], s.start[again], s.count[again]), axis=1)
+            places = places[np.argsort(places[:, 0], kind="stable")]
             # Spread versions go window by window: equal windows have equal keys, whatever their anchor's other versions are. A block sends
             # a window for its least id only; later ids of the block lose theirs here.
             reps = s.count[b]
@@ -254,8 +272,9 @@ def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
             start, window, who = start[order], window[order], who[order]
             heads = np.flatnonzero(np.append(True, window[1:] != window[:-1])[: len(window)])
             later = who > np.repeat(who[heads], np.diff(np.append(heads, len(who))))
-            gone = _covered(len(data), np.concatenate((s.start[goes], start[later])), np.concatenate((s.count[goes], np.ones(later.sum(), np.int64))), least)
-            yield row([None], [None], [block], [None], [None], [None], [gone])
+            lost, windows = _everywhere(start[later], np.ones(later.sum(), np.int64), places)
+            gone = _covered(len(data), np.concatenate((s.start[goes], lost)), np.concatenate((s.count[goes], windows)), least)
+            yield row([None], [None], [block], [None], [None], [None], [gone], [places.ravel()])
             start, window, who = start[~later], window[~later], who[~later]
             key = np.concatenate((s.h[a], window)).view(np.int64)
             starts = np.concatenate((s.start[a], start))
@@ -265,7 +284,7 @@ def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
             for i in range(0, len(key), 20_000):
                 z = slice(i, i + 20_000)
                 texts = [data[x : x + n] for x, n in zip(starts[z].tolist(), size[z].tolist(), strict=True)]
-                yield row(shard[z], key[z], np.full(len(texts), block), starts[z].astype(np.int32), owner[z], texts, [None] * len(texts))
+                yield row(shard[z], key[z], np.full(len(texts), block), starts[z].astype(np.int32), owner[z], texts, [None] * len(texts), [None] * len(texts))
 
     return known.select("block", "ids", "ends", "data", "told").mapInArrow(pick, schema)
 
@@ -318,10 +337,11 @@ def _cut(found: DataFrame, least: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, 1) for b in batches for i in range(b.num_rows)):
-            ((ids, ends, data, gone, windows),) = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            ((ids, ends, data, gone, places, windows),) = zip(*(c.to_pylist() for c in batch.columns), strict=True)
             data = _opened(data)
             raw, mask, begin, kept, removed = np.frombuffer(data, np.uint8), np.zeros(len(data), bool), 0, [], []
-            more = _covered(len(data), np.array([w["start"] for w in windows or []], np.int64), np.array([w["count"] for w in windows or []], np.int64), least)
+            found = (np.array([w[c] for w in windows or []], np.int64) for c in ("start", "count"))
+            more = _covered(len(data), *_everywhere(*found, np.array(places or [], np.int64).reshape(-1, 3)), least)
             for edges in (gone or [], more.tolist()):
                 for a, z in zip(edges[::2], edges[1::2], strict=True):
                     mask[a:z] = True
@@ -333,7 +353,7 @@ def _cut(found: DataFrame, least: int) -> DataFrame:
                 begin = end
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(kept, pa.binary()), pa.array(removed, span_type)], names=schema.names)
 
-    return found.select("ids", "ends", "data", "gone", "windows").mapInArrow(cut, schema)
+    return found.select("ids", "ends", "data", "gone", "places", "windows").mapInArrow(cut, schema)
 
 
 def dedup_substrings(docs: DataFrame, least: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -351,8 +371,8 @@ def dedup_substrings(docs: DataFrame, least: int = 50, id_col: str = "doc_id", t
     answers = _answers(_questions(packed, least, max(2 * parts, packed.count() // 8)))
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "told")).alias("told")).withColumnRenamed("block", "_block")
     picked = written(_picked(packed.join(told, packed["block"] == told["_block"], "left"), least, 2 * parts), "picked")
-    gone = picked.where("shard IS NULL").select(F.col("block").alias("_gone_of"), "gone")
-    windows = written(_sorted_shards(picked.where("shard IS NOT NULL").drop("gone"), least), "windows")
+    gone = picked.where("shard IS NULL").select(F.col("block").alias("_gone_of"), "gone", "places")
+    windows = written(_sorted_shards(picked.where("shard IS NOT NULL").drop("gone", "places"), least), "windows")
     windows = windows.groupBy("block").agg(F.collect_list(F.struct("start", "count")).alias("windows")).withColumnRenamed("block", "_of")
     known = packed.join(gone, packed["block"] == gone["_gone_of"]).join(windows, packed["block"] == windows["_of"], "left")
     return _cut(known, least).withColumnRenamed("id", id_col)

@@ -246,6 +246,22 @@ def test_suffix_dedup(spark, docs, empty, many, block, monkeypatch):
     assert suffix_dedup.dedup_substrings(empty).count() == 0
 
 
+@pytest.mark.parametrize("many", [64, 1])
+def test_suffix_dedup_cuts_every_place_of_a_repeated_passage(spark, many, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    rng = np.random.default_rng(11)
+    said = lambda n: "".join(rng.choice(list("abcdefghij klmnop"), n))
+    rows = []
+    for k in range(12):
+        passage, x, y = said(90 + 7 * k), said(80), said(80)
+        rows += [(10 * k, said(70) + passage + said(70)), (10 * k + 1, x + passage + y + x + passage + y)]
+        rows += [(10 * k + 2, x[:40] + passage + y[:40])] * 2  # rows of one id
+        rows += [(10 * k + 3, (said(30) + passage) * 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = Counter((r["doc_id"], bytes(r["kept"]), tuple((s["start"], s["end"]) for s in r["removed"])) for r in suffix_dedup.dedup_substrings(df, 50).collect())
+    assert got == brute_cut(rows, 50)
+
+
 def test_suffix_array_orders_all_suffixes():
     from keyharbor.llm.suffix_array import suffix_array
 
