@@ -12,7 +12,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from keyharbor.llm import bpe, components, embedding_dedup, line_dedup, mixing, quality_rules, secret_scan, simhash_dedup, suffix_dedup, token_counts, toxicity
+from keyharbor.llm import bpe, components, embedding_dedup, line_dedup, mixing, quality_rules, secret_scan, shingle_dedup, simhash_dedup, suffix_dedup, token_counts, toxicity
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 CLASHES = ["id", "fp", "node", "component", "th", "rank", "removed", "score", "ids", "n_tokens", "spans", "a", "b", "y", "terms", "block", "key", "bucket", "lines", "n", "v", "group", "rate", "tokens", "n_words", "kept", "_id", "_th", "_key", "line_no", "label"]
@@ -118,6 +118,46 @@ def test_components_of_a_long_chain(spark):
     assert {(r["node"], r["component"]) for r in components.components(links, "a", "b").collect()} == {(k, 0) for k in range(201)}
 
 
+def brute_groups(rows, words=5, least=0.8):
+    """(id, least id of the group) of each row."""
+    said = [(t or "").encode().lower().split() for _, t in rows]
+    sets = [{b" ".join(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} for w in said]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if label[i] != label[j] and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                label = [label[j] if x == label[i] else x for x in label]
+    return Counter((i, min((k for (k, _), y in zip(rows, label, strict=True) if y == x and k is not None), default=None)) for (i, _), x in zip(rows, label, strict=True))
+
+
+def test_shingle_groups_hold_the_similarity(spark, docs, empty):
+    rng = np.random.default_rng(6)
+    rows = texts()
+    for g in range(25):
+        base = [f"w{k}" for k in rng.integers(0, 5000, 60 + 12 * g)]
+        rows += [(1000 + 10 * g, " ".join(base))]
+        for k in range(1, 7):
+            changed = list(base)
+            for p in rng.choice(len(base), max(1, len(base) * k // 150), replace=False):
+                changed[p] = f"x{rng.integers(10**6)}"
+            rows.append((1000 + 10 * g + k, " ".join(changed)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_groups(rows)
+    assert by(shingle_dedup.near_duplicates(df).collect(), "doc_id", "component_id") == expected
+    assert 30 < len({c for i, c in expected if (i or 0) >= 1000}) < 160
+    assert shingle_dedup.near_duplicates(empty).count() == 0
+
+
+def test_the_stage_takes_near_copies_at_a_similarity_of_eight_tenths(spark):
+    import corpus_pipeline
+
+    base = [f"word{k}" for k in range(200)]
+    near = ["other" if k in (40, 90, 140) else w for k, w in enumerate(base)]
+    far = ["other" if k % 20 == 0 else w for k, w in enumerate(base)]
+    rows = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(far))], "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, rows, "").collect()} == {1, 3}
+
+
 # 4, 8
 
 
