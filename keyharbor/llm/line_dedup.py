@@ -19,16 +19,20 @@ from keyharbor.llm.common import BLANKS, written
 
 @dataclass(frozen=True)
 class Runs:
-    """A repeated run goes if it has min_lines lines (a power of two), or if a stretch of 1, 2, 4 ... of its lines has min_words words."""
+    """A repeated run goes if it has min_lines lines (a power of two), or if a stretch of 1, 2, 4 ... of its lines has min_words words.
+
+    whole: stretches of any number of lines count, so that a run of min_words words always goes.
+    """
 
     min_lines: int = 4
     min_words: int = 50
+    whole: bool = False
 
     @property
     def lengths(self) -> list[int]:
         if self.min_lines & (self.min_lines - 1):
             raise ValueError("min_lines is a power of two")
-        return [1 << t for t in range(self.min_lines.bit_length())]
+        return list(range(1, self.min_lines + 1)) if self.whole else [1 << t for t in range(self.min_lines.bit_length())]
 
 
 def _words(line: Column) -> Column:
@@ -58,18 +62,24 @@ def _ranked(places: DataFrame, name: str) -> DataFrame:
 def suffix_ranks(docs: DataFrame, lengths: list[int], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, th, line_no, n_words, rank, again_<L> for each length L): suffixes ranked by their first lines.
 
-    rank orders suffixes by their first max(lengths) lines (an end comes first). again_L: the L lines from here stand at an earlier
+    lengths rise to a power of two and hold all smaller ones. rank orders suffixes by their first max(lengths) lines (an end comes first). again_L: the L lines from here stand at an earlier
     place, by (id, text hash, line) with null ids first.
     """
     of_doc = Window.partitionBy("id", "th").orderBy("line_no")
     now = written(line_sequences(docs, id_col, text_col), "lines")
     for n in lengths:
-        if n > 1:
+        below = 1 << (n - 1).bit_length() - 1 if n > 1 else 0  # the rank in hand is by as many lines
+        if n > 1 and n < 2 * below:
+            now = now.select("*", F.col("rank").alias("a"), F.lead("rank", n - below).over(of_doc).alias("b"), (F.lead("line_no", n - 1).over(of_doc)).isNotNull().alias("whole")).withColumnRenamed("rank", "_rank")
+        elif n > 1:
             ahead = F.lead("rank", n // 2).over(of_doc)
             now = now.select("*", ahead.alias("b"), (F.lead("line_no", n - 1).over(of_doc)).isNotNull().alias("whole")).withColumnRenamed("rank", "a")
         else:
             now = now.withColumn("whole", F.lit(True))
-        now = written(_ranked(now, f"ranks{n}").withColumn(f"again_{n}", F.col("again") & F.col("whole")).drop("again", "whole"), f"suffixes{n}")
+        ranked = _ranked(now, f"ranks{n}").withColumn(f"again_{n}", F.col("again") & F.col("whole")).drop("again", "whole")
+        if "_rank" in ranked.columns:
+            ranked = ranked.drop("rank").withColumnRenamed("_rank", "rank")
+        now = written(ranked, f"suffixes{n}")
     return now
 
 

@@ -243,6 +243,28 @@ def test_line_dedup(docs, empty, runs):
     assert line_dedup.dedup_lines(empty, runs).count() == 0
 
 
+@pytest.mark.parametrize("runs", [line_dedup.Runs(whole=True), line_dedup.Runs(min_lines=8, min_words=50, whole=True)])
+def test_whole_runs_of_any_number_of_lines_go(spark, runs):
+    lines = [" ".join(f"w{k}x{j}" for j in range(11 + k)) for k in range(9)]
+    rows = [(1, "\n".join(["head", *lines, "tail"]))] + [(10 * a + n, "\n".join([f"before {a} {n}", *lines[a : a + n], "", f"after {a} {n}"])) for a in range(1, 7) for n in range(1, 4)]
+    found = {r["doc_id"]: tuple(r["removed_lines"]) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), runs).collect()}
+    expected = {}
+    for i, t in rows:
+        a, n = divmod(i, 10)
+        expected[i] = tuple(range(1, n + 1)) if i > 1 and (n >= runs.min_lines or sum(len(x.split()) for x in lines[a : a + n]) >= 50) else ()
+    assert found == expected and any(len(x) == 3 for x in found.values())
+    gone = brute_removed(rows, runs)
+    assert all(tuple(sorted(gone[r])) == found[r[0]] for r in rows)
+
+
+def test_the_stage_of_lines_takes_three_lines_of_twenty_words(spark):
+    import corpus_pipeline
+
+    run = "\n".join(" ".join(f"w{k}x{j}" for j in range(20)) for k in range(3))
+    rows = spark.createDataFrame([(k, f"own {k}\n{run}\nlast {k}", 0) for k in (1, 2)], "doc_id long, text string, n_chars long")
+    assert {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, rows, "").collect()} == {1: f"own 1\n{run}\nlast 1", 2: "own 2\nlast 2"}
+
+
 def test_suffix_ranks_order_suffixes(docs):
     rows = line_dedup.suffix_ranks(docs.where("doc_id IN (23, 24, 25)"), [1, 2, 4]).collect()
     lines = {i: t.split("\n") for i, t in texts() if i in (23, 24, 25)}
