@@ -5,45 +5,29 @@ class KeyspaceError(Exception):
     """Base of all."""
 
 
-class ConnectionFailed(KeyspaceError):
-    pass
-
-
-class InvalidPath(KeyspaceError):
-    pass
-
-
-class SchemaMismatch(KeyspaceError):
-    pass
-
-
-class TypeConversionError(KeyspaceError):
-    pass
-
-
-class KeyNotFound(KeyspaceError):
-    pass
+class InvalidInput(KeyspaceError, ValueError):
+    """An argument that means nothing here."""
 
 
-class IndexNotFound(KeyspaceError):
-    pass
+class InvalidPath(InvalidInput):
+    """A table without a folder."""
 
 
-class InvalidInput(KeyspaceError, ValueError):
-    pass
+class SchemaMismatch(InvalidInput):
+    """A type that a field can't be read as."""
 
 
-class KeyExists(KeyspaceError):
-    pass
+class KeyExists(KeyspaceError, ValueError):
+    """A name that is taken."""
 
 
-class TypeConflict(KeyspaceError):
-    pass
+class IndexNotFound(KeyspaceError, LookupError):
+    """No index of that name."""
 
 
-class UnsupportedPushdown(KeyspaceError):
-    pass
+class TypeConflict(KeyspaceError, TypeError):
+    """A table holds another shape than the one written."""
 
 
-class TimedOut(KeyspaceError):
-    pass
+class VersionConflict(KeyspaceError):
+    """Another writer has saved a version since the one that was read."""

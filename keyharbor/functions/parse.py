@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DateType, DoubleType, FloatType, IntegerType, LongType, ShortType, StringType, TimestampNTZType, TimestampType
 
+from keyharbor.errors import SchemaMismatch
+
 #: What each type takes.
 LONG = r"^[+-]?[0-9]+$"
 DOUBLE = r"(?i)^[+-]?(inf|infinity|nan|([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?)$"
@@ -41,7 +43,7 @@ def type_of(named: str | type | DataType) -> DataType:
         return TimestampNTZType()
     if isinstance(named, StringType | BooleanType | DateType):
         return named
-    raise ValueError(f"not a type of a typed field: {named!r}")
+    raise SchemaMismatch(f"not a type of a typed field: {named!r}")
 
 
 def _long(text: Column) -> Column:

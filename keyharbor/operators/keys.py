@@ -85,13 +85,13 @@ def get_ttl(target: Table | str, keys: Keys, now: float | None = None) -> DataFr
     """(_key, ttl): -1 without expiry, -2 if the key isn't there."""
     t = opened(target)
     held = live(_with_expiry(_state(t)), now)
-    return _frame(t, keys).select(KEY).join(held.select(KEY, ttl(held, now).alias("ttl")), KEY, "left").select(KEY, F.coalesce("ttl", F.lit(-2)).cast("long").alias("ttl"))
+    return _frame(t, keys).select(KEY).join(held.select(KEY, ttl(held, now).alias("ttl")).distinct(), KEY, "left").select(KEY, F.coalesce("ttl", F.lit(-2)).cast("long").alias("ttl"))
 
 
 def exists_keys(target: Table | str, keys: Keys, now: float | None = None) -> DataFrame:
     """(_key, exists)."""
     t = opened(target)
-    held = live(_with_expiry(_state(t)), now).select(KEY, F.lit(True).alias("exists"))
+    held = live(_with_expiry(_state(t)), now).select(KEY, F.lit(True).alias("exists")).distinct()
     return _frame(t, keys).select(KEY).join(held, KEY, "left").select(KEY, F.coalesce("exists", F.lit(False)).alias("exists"))
 
 
@@ -112,7 +112,7 @@ def delete_keys_from_column(target: Table | str, df: DataFrame, key_column: str
 def delete_keys_pattern(target: Table | str, pattern: str, now: float | None = None) -> DeleteResult:
     t = opened(target)
     held = live(_with_expiry(_state(t)), now)
-    n = held.where(matches_glob(F.col(KEY), pattern)).count()
+    n = held.where(matches_glob(F.col(KEY), pattern)).select(KEY).distinct().count()
     if n:
         t.save(held.where(~matches_glob(F.col(KEY), pattern)))
     return DeleteResult(n, 0)

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
-from keyharbor.errors import IndexNotFound, InvalidInput
+from keyharbor.errors import IndexNotFound, InvalidInput, KeyExists
 from keyharbor.operators.fields import Field, GeoField, GeoShapeField, NumericField, TagField, TextField, VectorField
 from keyharbor.operators.query import Expr
 from keyharbor.operators.search import search_hashes
@@ -127,7 +127,7 @@ class Catalog:
         if self.exists(index.name):
             if if_not_exists:
                 return
-            raise InvalidInput(f"index {index.name!r} exists")
+            raise KeyExists(f"index {index.name!r} exists")
         self._save([*self._rows(), index])
 
     def drop(self, name: str, missing_ok: bool = False) -> None:

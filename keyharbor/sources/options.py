@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -24,6 +25,33 @@ def get_default_timeout_ms() -> int:
     return _env("KEYHARBOR_TIMEOUT_MS", 30_000)
 
 
+def _setter(*names: str, given: tuple = ()) -> Callable[..., Any]:
+    """A method for chains: it sets the options of these names (given: what the first ones are if not said) and returns them all."""
+
+    def put(self: Any, *values: Any, **named: Any) -> Any:
+        known = dict(zip(names, given, strict=False)) | dict(zip(names, values, strict=False)) | named
+        if len(values) > len(names) or set(known) != set(names):
+            raise TypeError(f"takes {', '.join(names)}")
+        for name, value in known.items():
+            setattr(self, name, value)
+        return self
+
+    return put
+
+
+def _included(flag: str, *columns: str) -> Callable[..., Any]:
+    """A method for chains: whether a column is included, and, if said, its name (and offset)."""
+
+    def put(self: Any, include: bool = True, name: str | None = None, offset: int | None = None) -> Any:
+        setattr(self, flag, include)
+        for column, value in zip(columns, (name, offset), strict=False):
+            if value is not None:
+                setattr(self, column, value)
+        return self
+
+    return put
+
+
 @dataclass(kw_only=True)
 class ScanOptions:
     pattern: str = "*"
@@ -37,16 +65,28 @@ class ScanOptions:
     ttl_column_name: str = "_ttl"
     include_row_index: bool = False
     row_index_column_name: str = "_index"
+    row_index_offset: int = 0
+
+    with_pattern, with_batch_size, with_count_hint, with_n_rows = _setter("pattern"), _setter("batch_size"), _setter("count_hint"), _setter("n_rows")
+    with_key, with_ttl = _included("include_key", "key_column_name"), _included("include_ttl", "ttl_column_name")
+    with_row_index = _included("include_row_index", "row_index_column_name", "row_index_offset")
 
 
 @dataclass(kw_only=True)
 class HashScanOptions(ScanOptions):
     strict: bool = True
+    projection: list[str] | None = None
+
+    with_projection = _setter("projection")
 
 
 @dataclass(kw_only=True)
 class JsonScanOptions(ScanOptions):
     strict: bool = True
+    path: str | None = None
+    projection: list[str] | None = None
+
+    with_path, with_projection = _setter("path"), _setter("projection")
 
 
 @dataclass(kw_only=True)
@@ -55,11 +95,15 @@ class StringScanOptions(ScanOptions):
     value_column_name: str = "value"
     strict: bool = True
 
+    with_value_column_name = _setter("value_column_name")
+
 
 @dataclass(kw_only=True)
 class SetScanOptions(ScanOptions):
     member_column_name: str = "member"
 
+    with_member_column_name = _setter("member_column_name")
+
 
 @dataclass(kw_only=True)
 class ListScanOptions(ScanOptions):
@@ -67,6 +111,8 @@ class ListScanOptions(ScanOptions):
     include_position: bool = False
     position_column_name: str = "position"
 
+    with_element_column_name, with_position = _setter("element_column_name"), _included("include_position", "position_column_name")
+
 
 @dataclass(kw_only=True)
 class ZSetScanOptions(ScanOptions):
@@ -75,6 +121,8 @@ class ZSetScanOptions(ScanOptions):
     include_rank: bool = False
     rank_column_name: str = "rank"
 
+    with_member_column_name, with_score_column_name, with_rank = _setter("member_column_name"), _setter("score_column_name"), _included("include_rank", "rank_column_name")
+
 
 @dataclass(kw_only=True)
 class StreamScanOptions(ScanOptions):
@@ -89,6 +137,9 @@ class StreamScanOptions(ScanOptions):
     include_sequence: bool = False
     sequence_column_name: str = "_seq"
 
+    with_fields, with_count_per_stream, with_range = _setter("fields"), _setter("count_per_stream"), _setter("start_id", "end_id", given=("-", "+"))
+    with_id, with_timestamp, with_sequence = _included("include_id", "id_column_name"), _included("include_timestamp", "timestamp_column_name"), _included("include_sequence", "sequence_column_name")
+
 
 @dataclass(kw_only=True)
 class TimeSeriesScanOptions(ScanOptions):
@@ -101,8 +152,11 @@ class TimeSeriesScanOptions(ScanOptions):
     timestamp_column_name: str = "_ts"
     value_column_name: str = "value"
 
+    with_range, with_count_per_series, with_labels, with_aggregation = _setter("start", "end", given=("-", "+")), _setter("count_per_series"), _setter("labels"), _setter("aggregation", "bucket_size_ms")
+    with_timestamp_column_name, with_value_column_name = _setter("timestamp_column_name"), _setter("value_column_name")
 
-@dataclass(kw_only=True)
+
+@dataclass
 class SummarizeOptions:
     fields: list[str] | None = None
     frags: int = 3
@@ -110,7 +164,7 @@ class SummarizeOptions:
     separator: str = "..."
 
 
-@dataclass(kw_only=True)
+@dataclass
 class HighlightOptions:
     fields: list[str] | None = None
     open_tag: str = "<b>"
@@ -123,6 +177,7 @@ class SearchOptions(ScanOptions):
 
     index: str | None = None
     query: Any = "*"
+    projection: list[str] | None = None
     sort_by: str | None = None
     sort_ascending: bool = True
     offset: int = 0
@@ -143,3 +198,17 @@ class SearchOptions(ScanOptions):
     in_order: bool | None = None
     expander: str | None = None
     nocontent: bool = False
+
+    with_index, with_query, with_projection, with_sort = _setter("index"), _setter("query"), _setter("projection"), _setter("sort_by", "sort_ascending", given=(None, True))
+    with_score, with_scorer, with_language = _included("include_score", "score_column_name"), _setter("scorer"), _setter("language")
+    with_verbatim, with_no_stopwords, with_in_order = _setter("verbatim", given=(True,)), _setter("no_stopwords", given=(True,)), _setter("in_order", given=(True,))
+    with_in_keys, with_in_fields, with_timeout, with_dialect = _setter("in_keys"), _setter("in_fields"), _setter("timeout_ms"), _setter("dialect")
+    with_params, with_slop, with_expander, with_nocontent = _setter("params"), _setter("slop"), _setter("expander"), _setter("nocontent", given=(True,))
+
+    def with_summarize(self, fields: list[str] | None = None, frags: int = 3, len: int = 20, separator: str = "...") -> SearchOptions:
+        self.summarize = SummarizeOptions(fields, frags, len, separator)
+        return self
+
+    def with_highlight(self, fields: list[str] | None = None, open_tag: str = "<b>", close_tag: str = "</b>") -> SearchOptions:
+        self.highlight = HighlightOptions(fields, open_tag, close_tag)
+        return self

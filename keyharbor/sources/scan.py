@@ -1,19 +1,20 @@
 """Scans: a keyspace's tables as typed, lazy DataFrames.
 
-A source is a DataFrame (or the path of a Parquet table) with a column `_key`, one row for each key, and optionally
+A source is a DataFrame (or the path of a Parquet table) with a column `_key`, one row for each key or for each of its parts, and optionally
 `_expire_at` (epoch seconds; null: no expiry). What else it holds depends on the shape:
 
     hashes      a column of text for each field, or one map column `fields`
     json        `doc`, JSON text
     strings     `value`, text
-    sets        `members`, array of text
-    lists       `elements`, array of text
-    zsets       `members`, array of struct(member, score)
+    sets        a row for each `member`; or one for each key, with `members`, an array of text
+    lists       a row for each `element`, with its place `pos`; or one for each key, with `elements`, an array of text
+    zsets       a row for each `member` with its `score`; or one for each key, with `members`, an array of struct(member, score)
     streams     a row for each entry: `ms`, `seq`, and `fields` (map) or a column for each field
     timeseries  a row for each sample: `ts` (epoch ms), `value`, optionally `labels` (map)
 
 Columns are pruned and filters pushed down by Catalyst; nothing is read until an action. Columns come as row index, key,
-TTL, data. The row index is 0-based by key (and place within it); keys are unique in a table, so it doesn't depend on partitions.
+TTL, data. The row index is by key (and place within it), from row_index_offset on; keys are unique in a table, so it doesn't depend on
+partitions. A scan with a row index sorts and writes its rows when it is built (row_index()).
 """
 
 from __future__ import annotations
@@ -25,9 +26,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
+from keyharbor.errors import InvalidInput, SchemaMismatch
 from keyharbor.functions.parse import parsed, type_of
 from keyharbor.functions.text import matches_glob
 from keyharbor.sources import options as opt
+from keyharbor.sources.scratch import written
 
 KEY, EXPIRES = "_key", "_expire_at"
 Schema = dict[str, Any] | StructType
@@ -73,13 +76,19 @@ def ttl(df: DataFrame, now: float | None = None) -> Column:
     return F.when(F.col(EXPIRES).isNull(), F.lit(-1)).otherwise(F.floor(F.col(EXPIRES) - at)).cast("long")
 
 
-def row_index(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-    """df with 0-based numbers in the order of the columns. Two passes, no single-task window: a global sort, counts of its partitions, and their sums."""
-    ordered = df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id())
-    part = F.shiftright("_at", 33)
-    counts = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # a row for each partition
-    return ordered.withColumn("_part", part).join(F.broadcast(before), "_part").select((F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias(name), *df.columns)
+def row_index(df: DataFrame, name: str, order: list[str], offset: int = 0) -> DataFrame:
+    """df with numbers from `offset` on, in the order of the columns (none: the frame's own), and its columns after it.
+
+    The sorted rows are written once, with their place, to the shared folder: a sort that runs again samples other bounds, so its
+    places can't be counted in one run and used in another. The numbers are the places within a written part, and the rows of the parts before
+    it: a count of one row a part, and no window over a single task.
+    """
+    at, part = "__at", F.shiftright("__at", 33)
+    placed = written((df.orderBy(*order) if order else df).withColumn(at, F.monotonically_increasing_id()), "rows")
+    counts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__before"))  # a row for each part
+    joined = placed.withColumn("__part", part).join(F.broadcast(before), "__part")
+    return joined.select((F.col("__before") + F.col(at).bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(offset)).alias(name), *(placed[c] for c in df.columns))
 
 
 def _out(df: DataFrame, o: opt.ScanOptions, data: list[Column], order: list[str], now: float | None) -> DataFrame:
@@ -88,7 +97,7 @@ def _out(df: DataFrame, o: opt.ScanOptions, data: list[Column], order: list[str]
     meta = [F.col(KEY).alias(o.key_column_name)] * o.include_key + [ttl(df, now).alias(o.ttl_column_name)] * o.include_ttl
     if o.include_row_index:
         inner = kept.select(F.col(KEY).alias("_order_key"), *(F.col(c) for c in order), *meta, *data)
-        numbered = row_index(inner, o.row_index_column_name, ["_order_key", *order])
+        numbered = row_index(inner, o.row_index_column_name, ["_order_key", *order], o.row_index_offset)
         out = numbered.drop("_order_key", *order)
     else:
         out = kept.select(*meta, *data)
@@ -102,34 +111,56 @@ def scan_hashes(source: Source, pattern: str = "*", schema: Schema | None = None
     o, df = _options(opt.HashScanOptions, options, {"pattern": pattern} | named), table_of(source)
     in_map = isinstance(df.schema["fields"].dataType, MapType) if "fields" in df.columns else False
     raw = lambda n: F.try_element_at("fields", F.lit(n)) if in_map else F.col(n).cast("string") if n in df.columns else F.lit(None).cast("string")
-    return _out(df, o, [parsed(raw(n), t, o.strict).alias(n) for n, t in typed_fields(schema)], [], now)
+    return _out(df, o, [parsed(raw(n), t, o.strict).alias(n) for n, t in _projected(typed_fields(schema), o.projection)], [], now)
+
 
+def json_field(doc: Column, name: str, to: Any, strict: bool = True, path: str = "$", parsed_doc: Column | None = None) -> Column:
+    """A field of the object at `path` of JSON text: text as it is (other kinds: their JSON), longs truncated from decimals, null or missing: null.
 
-def json_field(doc: Column, name: str, to: Any, strict: bool = True) -> Column:
-    """A top-level field of JSON text: text as it is (other kinds: their JSON), longs truncated from decimals, null or missing: null."""
-    kind = type_of(to).simpleString()
-    variant = F.try_variant_get(F.try_parse_json(doc), f'$["{name}"]', "variant")
-    shape = F.schema_of_variant(variant)
+    parsed_doc: the text as a variant, where it has been parsed already (with_variant()).
+    """
+    kind, whole = type_of(to).simpleString(), parsed_doc if parsed_doc is not None else F.try_parse_json(doc)
     if kind == "string":
-        return F.get_json_object(doc, f"$['{name}']")
+        return F.get_json_object(doc, f"{path}['{name}']")
     wants = {"bigint": ("BIGINT", "DOUBLE", "DECIMAL"), "double": ("BIGINT", "DOUBLE", "DECIMAL"), "boolean": ("BOOLEAN",)}.get(kind)
     if wants is None:
-        raise ValueError(f"JSON fields are string, long, double or boolean, not {kind}")
+        raise SchemaMismatch(f"JSON fields are string, long, double or boolean, not {kind}")
+    at = f'{path}["{name}"]'
+    # Casts that fail give null: a long is tried as such first, for doubles lose its last digits.
+    if kind == "boolean":
+        value = F.try_variant_get(whole, at, "boolean")
+    else:
+        number = F.try_variant_get(whole, at, "double")
+        value = number if kind == "double" else F.coalesce(F.try_variant_get(whole, at, "bigint"), number.cast("bigint"))
+    shape = F.schema_of_variant(F.try_variant_get(whole, at, "variant"))
     fits = F.regexp_extract(shape, r"^\w+", 0).isin(*wants)
-    number = F.try_variant_get(F.try_parse_json(doc), f'$["{name}"]', "double")
-    value = F.when(fits, F.try_variant_get(F.try_parse_json(doc), f'$["{name}"]', "boolean") if kind == "boolean" else number if kind == "double" else F.coalesce(F.when(shape.startswith("BIGINT"), F.try_variant_get(F.try_parse_json(doc), f'$["{name}"]', "bigint")), number.cast("bigint")))
     if not strict:
-        return value
-    wrong = F.raise_error(F.concat(F.lit(f"field {name} is not a {kind}: "), F.get_json_object(doc, f"$['{name}']"))).cast(kind)
-    return F.when(variant.isNotNull() & (shape != "VOID") & ~fits, wrong).otherwise(value)
+        return F.when(fits, value)
+    wrong = F.raise_error(F.concat(F.lit(f"field {name} is not a {kind}: "), F.get_json_object(doc, f"{path}['{name}']"))).cast(kind)
+    return F.when(fits, value).when(shape.isNotNull() & (shape != "VOID"), wrong)
+
+
+def with_variant(df: DataFrame, schema: Schema) -> DataFrame:
+    """df with its doc as a variant too, __doc, parsed once for all fields that aren't text."""
+    return df.withColumn("__doc", F.try_parse_json("doc")) if any(type_of(t).simpleString() != "string" for _, t in typed_fields(schema)) else df.withColumn("__doc", F.lit(None).cast("variant"))
 
 
 def scan_json(source: Source, pattern: str = "*", schema: Schema | None = None, *, options: opt.JsonScanOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
-    """A row for each document, its top-level fields typed by the schema."""
+    """A row for each document, its top-level fields (those of the object at the option `path`) typed by the schema."""
     if not schema:
         raise ValueError("a JSON scan needs a schema")
     o, df = _options(opt.JsonScanOptions, options, {"pattern": pattern} | named), table_of(source)
-    return _out(df, o, [json_field(F.col("doc"), n, t, o.strict).alias(n) for n, t in typed_fields(schema)], [], now)
+    fields = _projected(typed_fields(schema), o.projection)
+    return _out(with_variant(df, schema), o, [json_field(F.col("doc"), n, t, o.strict, o.path or "$", F.col("__doc")).alias(n) for n, t in fields], [], now)
+
+
+def _projected(fields: list[tuple[str, Any]], names: list[str] | None) -> list[tuple[str, Any]]:
+    """The fields that a projection names (none: all), in the schema's order."""
+    if names is None:
+        return fields
+    if unknown := set(names) - {n for n, _ in fields}:
+        raise InvalidInput(f"the schema has no fields {', '.join(sorted(unknown))}")
+    return [(n, t) for n, t in fields if n in names]
 
 
 def scan_strings(source: Source, pattern: str = "*", *, options: opt.StringScanOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
@@ -140,25 +171,34 @@ def scan_strings(source: Source, pattern: str = "*", *, options: opt.StringScanO
 def scan_sets(source: Source, pattern: str = "*", *, options: opt.SetScanOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
     """A row for each member; empty sets have none."""
     o, df = _options(opt.SetScanOptions, options, {"pattern": pattern} | named), table_of(source)
-    rows = df.withColumn("_member", F.explode(F.array_distinct("members")))
+    rows = df.withColumn("_member", F.explode(F.array_distinct("members"))) if "members" in df.columns else df.withColumn("_member", F.col("member"))
     return _out(rows, o, [F.col("_member").alias(o.member_column_name)], ["_member"], now)
 
 
 def scan_lists(source: Source, pattern: str = "*", *, options: opt.ListScanOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
     """A row for each element, with its 0-based position if asked."""
     o, df = _options(opt.ListScanOptions, options, {"pattern": pattern} | named), table_of(source)
-    rows = df.select("*", F.posexplode("elements").alias("_pos", "_element"))
+    rows = df.select("*", F.posexplode("elements").alias("_pos", "_element")) if "elements" in df.columns else df.withColumns({"_pos": F.col("pos"), "_element": F.col("element")})
     return _out(rows, o, [F.col("_pos").cast("long").alias(o.position_column_name)] * o.include_position + [F.col("_element").alias(o.element_column_name)], ["_pos"], now)
 
 
 def scan_zsets(source: Source, pattern: str = "*", *, options: opt.ZSetScanOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
-    """A row for each member with its score; rank is 0-based by (score, member) within the key."""
+    """A row for each member with its score; rank is 0-based by (score, member) within the key.
+
+    Members that are rows are ranked by a window, only where ranks are asked for: its sort spills and no key is held as a whole.
+    """
     o, df = _options(opt.ZSetScanOptions, options, {"pattern": pattern} | named), table_of(source)
-    # The members of a key are one array: ordering it needs no shuffle.
-    ordered = F.array_sort(F.transform("members", lambda m: F.struct(m["score"].cast("double").alias("score"), m["member"].alias("member"))))
-    rows = df.select("*", F.posexplode(ordered).alias("_rank", "_m"))
-    data = [F.col("_m.member").alias(o.member_column_name), F.col("_m.score").alias(o.score_column_name)] + [F.col("_rank").cast("long").alias(o.rank_column_name)] * o.include_rank
-    return _out(rows, o, data, ["_rank"], now)
+    if "members" in df.columns:
+        ordered = F.array_sort(F.transform("members", lambda m: F.struct(m["score"].cast("double").alias("score"), m["member"].alias("member"))))
+        rows = df.select("*", F.posexplode(ordered).alias("_rank", "_m")).select("*", F.col("_m.member").alias("_member"), F.col("_m.score").alias("_score"))
+    else:
+        rows = df.withColumns({"_member": F.col("member"), "_score": F.col("score").cast("double")})
+        if o.include_rank:
+            if o.pattern != "*":
+                rows = rows.where(matches_glob(F.col(KEY), o.pattern))
+            rows = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(KEY).orderBy("_score", "_member")) - 1)
+    data = [F.col("_member").alias(o.member_column_name), F.col("_score").alias(o.score_column_name)] + ([F.col("_rank").cast("long").alias(o.rank_column_name)] if o.include_rank else [])
+    return _out(rows, o, data, ["_score", "_member"], now)
 
 
 def entry_id(text: str, last: bool = False) -> tuple[int, int]:
@@ -260,7 +300,7 @@ def key_info(tables: dict[str, Source], pattern: str = "*", *, include_memory: b
         kept = live(df, now).where(matches_glob(F.col(KEY), pattern))
         size = F.length(F.to_json(F.struct(*df.columns))).cast("long") if include_memory else F.lit(None).cast("long")
         rows = kept.select(F.col(KEY).alias("key"), F.lit(kind).alias("key_type"), ttl(df, now).alias("ttl"), size.alias("memory_usage"), F.lit("parquet").alias("encoding"))
-        rows = rows.groupBy("key", "key_type", "ttl", "encoding").agg(F.sum("memory_usage").alias("memory_usage")).select("key", "key_type", "ttl", "memory_usage", "encoding") if kind in ("stream", "timeseries") else rows
+        rows = rows.groupBy("key", "key_type", "ttl", "encoding").agg(F.sum("memory_usage").alias("memory_usage")).select("key", "key_type", "ttl", "memory_usage", "encoding") if kind in ("stream", "timeseries", "set", "list", "zset") else rows
         out = rows if out is None else out.unionByName(rows)
     if out is None:
         raise ValueError("no tables")

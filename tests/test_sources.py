@@ -121,12 +121,16 @@ def test_other_writers(spark, path):
     df = spark.createDataFrame([("k", "a", 1.0, 2), ("k", "b", 2.0, 1), ("k", "a", 3.0, 3), ("k", None, 1.0, 4)], "_key string, member string, score double, i int").coalesce(1)
     assert kh.write_sets(df.select("_key", "member"), f"{path}/s") == 1
     kh.write_sets(spark.createDataFrame([("k", "z")], "_key string, member string"), f"{path}/s", if_exists="append")
-    assert sorted(kh.Table(f"{path}/s").read().first()["members"]) == ["a", "b", "z"]
+    assert sorted(r["member"] for r in kh.scan_sets(kh.Table(f"{path}/s").read()).collect()) == ["a", "b", "z"]
     kh.write_lists(df.withColumnRenamed("member", "element"), f"{path}/l", index_column="i")
     kh.write_lists(spark.createDataFrame([("k", "z")], "_key string, element string"), f"{path}/l", if_exists="append")
-    assert kh.Table(f"{path}/l").read().first()["elements"] == ["b", "a", "a", "z"]
+    assert [r["element"] for r in kh.scan_lists(kh.Table(f"{path}/l").read(), include_position=True).orderBy("position").collect()] == ["b", "a", "a", "z"]
     kh.write_zsets(df, f"{path}/z")
-    assert {(m["member"], m["score"]) for m in kh.Table(f"{path}/z").read().first()["members"]} == {("a", 3.0), ("b", 2.0)}
+    assert [(r["member"], r["score"], r["rank"]) for r in kh.scan_zsets(kh.Table(f"{path}/z").read(), include_rank=True).orderBy("rank").collect()] == [("b", 2.0, 0), ("a", 3.0, 1)]
+    kh.write_zsets(spark.createDataFrame([("k", "a", 1.0), ("m", "q", 1.0)], "_key string, member string, score double"), f"{path}/z", if_exists="append", ttl=5.0, now=100.0)
+    assert {tuple(r) for r in kh.Table(f"{path}/z").read().select("_key", "member", "score", "_expire_at").collect()} == {("k", "a", 1.0, 105.0), ("k", "b", 2.0, 105.0), ("m", "q", 1.0, 105.0)}
+    with pytest.raises(TypeError, match="which is no set"):
+        kh.write_sets(df.select("_key", "member"), f"{path}/z")
     assert kh.write_strings(spark.createDataFrame([(1, True), (2, None)], "id int, value boolean"), f"{path}/v", key_column="id", key_prefix="v:") == 1
     assert kh.scan_strings(kh.Table(f"{path}/v").read(), value_type=bool).first()["value"] is True
     assert kh.write_json(spark.createDataFrame([("k", 1, None)], "_key string, n int, s string"), f"{path}/j") == 1
