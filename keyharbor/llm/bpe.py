@@ -20,10 +20,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from keyharbor.llm.common import pieces
+from keyharbor.llm.common import cuts, pieces
 
 #: Bytes of text of a shard.
 SHARD = 4 << 20
+#: Decoded bytes of a batch, about: one text may have more.
+DECODED = 4 << 20
 #: Words of more bytes are merged one by one, through a heap of their own.
 LONG = 256
 
@@ -216,20 +218,21 @@ def decode(encoded: DataFrame, rank_file: str, ids_col: str = "ids", out_col: st
     def spelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _merges(ranks.value)
         for whole in batches:
-            step = max(1, min(whole.num_rows, 256))
-            for batch in (whole.slice(i, step) for i in range(0, whole.num_rows, step)):
-                lists = batch.column(at)
-                ids = lists.flatten().to_numpy(zero_copy_only=False)
-                if len(ids) and (ids.min() < 0 or ids.max() >= len(m.token_len) or not m.token_len[ids].all()):
-                    raise ValueError("an id that the rank file doesn't hold")
-                sizes = m.token_len[ids]
-                n_ids = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-                ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum(n_ids)))]
-                data = gather(m.token_bytes, m.token_at[ids], sizes)
-                valid = None if not lists.null_count else pc.is_valid(lists)
-                out = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
-                if valid is not None:
-                    out = pc.if_else(valid, out, pa.scalar(None, pa.binary()))
+            lists = whole.column(at)
+            ids = lists.flatten().to_numpy(zero_copy_only=False)
+            if len(ids) and (ids.min() < 0 or ids.max() >= len(m.token_len) or not m.token_len[ids].all()):
+                raise ValueError("an id that the rank file doesn't hold")
+            n_ids = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            id_ends = np.concatenate(([0], np.cumsum(n_ids, dtype=np.int64)))
+            byte_ends = np.concatenate(([0], np.cumsum(m.token_len[ids])))[id_ends]
+            for begin, end in cuts(np.diff(byte_ends), DECODED):
+                mine = ids[id_ends[begin] : id_ends[end]]
+                data = gather(m.token_bytes, m.token_at[mine], m.token_len[mine])
+                offsets = (byte_ends[begin : end + 1] - byte_ends[begin]).astype(np.int32)
+                out = pa.Array.from_buffers(pa.binary(), end - begin, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+                batch = whole.slice(begin, end - begin)
+                if batch.column(at).null_count:
+                    out = pc.if_else(pc.is_valid(batch.column(at)), out, pa.scalar(None, pa.binary()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*names, out_col])
 
     return encoded.mapInArrow(spelled, StructType([*encoded.schema.fields, StructField(out_col, BinaryType())]))

@@ -1,47 +1,22 @@
-"""What the operators share: the shared folder, written tables, and batches of text."""
+"""What the operators share: written tables, and batches of text."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Only where the session names no spark.checkpoint.dir (tests, a laptop).
-LOCAL_FALLBACK = "/tmp/checkpoints/keyharbor"
+from keyharbor.sources.scratch import purge, run_dir, shared_dir, written
+
+__all__ = ["BLANKS", "cuts", "parts_for", "pieces", "purge", "run_dir", "shared_dir", "table", "text_or_empty", "whole_row", "written"]
 
 #: ASCII blanks: words are runs of anything else.
 BLANKS = "\\x20\\x09-\\x0D"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see, as the cluster names it."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = LOCAL_FALLBACK
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder: computed once, lineage cut, safe when executors go."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def purge(spark: SparkSession) -> None:
-    """Deletes the intermediate tables in the shared folder, of all runs: for when results are saved and nothing else runs there."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tables")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    for t in spark.catalog.listTables():
-        if t.name.startswith("keyharbor_blocks_"):
-            spark.sql(f"DROP TABLE IF EXISTS `{t.name}`")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -54,18 +29,26 @@ def parts_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of df as one struct: beside it, names of one's own clash with none."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns))
+
+
+def cuts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Neighbouring rows, from and to, of at most so many bytes (one row at least)."""
+    ends, begin = np.cumsum(sizes, dtype=np.int64), 0
+    while begin < len(ends):
+        past = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, past + most, side="right")))
+        yield begin, end
+        begin = end
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most so many bytes of a binary or string column (one row at least)."""
-    import numpy as np
     import pyarrow.compute as pc
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-        begin = 0
-        while begin < batch.num_rows:
-            past = ends[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, past + most_bytes, side="right")))
-            yield batch.slice(begin, end - begin)
-            begin = end
+        if batch.num_rows:
+            for begin, end in cuts(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), most_bytes):
+                yield batch.slice(begin, end - begin)

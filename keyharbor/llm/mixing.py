@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegerType, LongType, StructField, StructType
 
-from keyharbor.llm.common import pieces, written
+from keyharbor.llm.common import pieces, whole_row, written
 
 #: Places of a text's features: hashed shapes of words, then hashed words.
 SHAPES, WORDS = 1 << 10, 1 << 16
@@ -78,8 +78,18 @@ def features(text: bytes) -> tuple[int, list[int], np.ndarray]:
     return n, places, np.concatenate((share, logs / np.sqrt((logs * logs).sum())))
 
 
+def by_place(places: list[int], values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features with each place once: values of one place are added up."""
+    at, back = np.unique(np.array(places, np.int64), return_inverse=True)
+    return at, np.bincount(back, values, len(at)).astype(np.float32)
+
+
 def fit_domains(docs: DataFrame, labelled: DataFrame, domain: Column, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> Softmax:
-    """A classifier of the domains that `domain` names over the labelled table (null: not labelled). Without labelled documents: one domain "all"."""
+    """A classifier of the domains that `domain` names over the labelled table (null: not labelled). Without labelled documents: one domain "all".
+
+    Of an id with several texts, that of the least hash is learned from. What comes to the driver has a bound: most_rows documents a domain, each with
+    SHAPES + WORDS places at most, however long its text is.
+    """
     s = settings
     some = labelled.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), domain.alias("domain")).where("domain IS NOT NULL").groupBy("_id").agg(F.min("domain").alias("domain"))
     names = tuple(sorted(r["domain"] for r in some.select("domain").distinct().collect()))  # as many rows as domains
@@ -91,16 +101,17 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: Column, settings:
         chosen = few if chosen is None else chosen.unionByName(few)
     # most_rows rows of each domain at most: safe to broadcast.
     texts = docs.select(F.col(id_col).alias("_of"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    joined = texts.join(F.broadcast(chosen), F.col("_of") == F.col("_id")).select("_id", "domain", "t")
+    joined = texts.join(F.broadcast(chosen), F.col("_of") == F.col("_id")).select("_id", "domain", F.xxhash64("t").alias("th"), "t")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 2, 4 << 20):
-            found = [features(t) for t in batch.column(2).cast(pa.binary()).to_pylist()]
-            arrays = [batch.column(0), pa.array([names.index(d) for d in batch.column(1).to_pylist()], pa.int32()), pa.array([f[1] for f in found], pa.list_(pa.int32())), pa.array([f[2] for f in found], pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "y", "places", "parts"])
-
-    schema = StructType([StructField("id", chosen.schema["_id"].dataType), StructField("y", IntegerType()), StructField("places", ArrayType(IntegerType())), StructField("parts", ArrayType(FloatType()))])
-    data = joined.mapInArrow(read, schema).dropDuplicates(["id"]).toArrow().sort_by("id").combine_chunks()
+        for batch in pieces(batches, 3, 4 << 20):
+            found = [by_place(*features(t)[1:]) for t in batch.column(3).cast(pa.binary()).to_pylist()]
+            arrays = [batch.column(0), batch.column(2), pa.array([names.index(d) for d in batch.column(1).to_pylist()], pa.int32()), pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "th", "y", "places", "parts"])
+
+    schema = StructType([StructField("id", chosen.schema["_id"].dataType), StructField("th", LongType()), StructField("y", IntegerType()), StructField("places", ArrayType(IntegerType())), StructField("parts", ArrayType(FloatType()))])
+    one = joined.mapInArrow(read, schema).groupBy("id").agg(F.min(F.struct("th", "y", "places", "parts")).alias("r"))
+    data = one.select("id", "r.y", "r.places", "r.parts").toArrow().sort_by("id").combine_chunks()
     return _softmax(names, data, s)
 
 
@@ -217,17 +228,36 @@ def rates(members: DataFrame, targets: dict[str, float], domains: tuple[str, ...
 def mixture(docs: DataFrame, labelled: DataFrame, domain: Column, targets: dict[str, float], settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, tuple[str, ...]]:
     """((id, th, tokens, posterior, rate) of every row, domains). Null and empty texts hold no tokens and take the bias's posterior.
 
-    Ids may be null or repeat; other columns are ignored. A domain without labels can't be a target. An empty table gives no rows.
+    Ids may be null or repeat; other columns are ignored. A domain that has a target and no labelled document is an error; with no labelled documents at
+    all, there is one domain "all" and every rate is 1. An empty table gives no rows. totals() says what the rates reach.
     """
     model = fit_domains(docs, labelled, domain, settings, id_col, text_col)
+    missing = [d for d, w in targets.items() if w > 0 and d not in model.domains]
+    if missing and model.domains != ("all",):
+        raise ValueError(f"no labelled document is of {', '.join(sorted(missing))}; labels know {', '.join(model.domains)}")
     members = written(memberships(docs, model, id_col, text_col), "members")
-    known = {d: w for d, w in targets.items() if d in model.domains} or dict.fromkeys(model.domains, 1.0)
+    known = {"all": 1.0} if model.domains == ("all",) else targets
     return rates(members, known, model.domains, settings), model.domains
 
 
+def totals(rated: DataFrame, domains: tuple[str, ...], targets: dict[str, float]) -> DataFrame:
+    """(domain, tokens, share, target) of each domain: the expected tokens at the rates, their share of all, and the share that was asked for."""
+    whole = sum(targets.get(d, 0.0) for d in domains) or 1.0
+    each = rated.select(*((F.col("rate") * F.col("tokens") * F.get("posterior", F.lit(k))).alias(f"t{k}") for k in range(len(domains))))
+    sums = each.agg(*(F.coalesce(F.sum(f"t{k}"), F.lit(0.0)).alias(f"t{k}") for k in range(len(domains))))
+    rows = F.array(*(F.struct(F.lit(d).alias("domain"), F.col(f"t{k}").alias("tokens"), F.lit(targets.get(d, 0.0) / whole).alias("target")) for k, d in enumerate(domains)))
+    all_of = sum((F.col(f"t{k}") for k in range(len(domains))), F.lit(0.0))
+    return sums.select(all_of.alias("whole"), F.explode(rows).alias("r")).select("r.domain", "r.tokens", F.when(F.col("whole") > 0, F.col("r.tokens") / F.col("whole")).otherwise(0.0).alias("share"), "r.target")
+
+
 def resampled(docs: DataFrame, rated: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 17) -> DataFrame:
-    """docs, each row as often as its rate says: the whole part, and once more with the rest as its probability (by a hash of its id and text)."""
-    by_text = rated.groupBy("id", "th").agg(F.max("rate").alias("rate")).select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("rate").alias("_rate"))
-    chance = F.shiftrightunsigned(F.xxhash64(id_col, text_col, F.lit(seed)), 11).cast("double") / float(1 << 53)
-    joined = docs.join(by_text, docs[id_col].eqNullSafe(by_text["_id"]) & (F.xxhash64(docs[text_col]) == by_text["_th"]))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.floor(by_text["_rate"] + chance).cast("int")))).select(*(docs[c] for c in docs.columns))
+    """docs, each row as often as its rate says: the whole part, and once more with the rest as its probability (by a hash of its id and text).
+
+    Rows take the rate of their id and text; null ids and null texts are values like others, repeated rows share their rate, and a row that isn't rated goes. All columns
+    stay, whatever their names are. An empty table gives no rows.
+    """
+    by_text = rated.groupBy("id", "th").agg(F.max("rate").alias("rate"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("of_id"), F.xxhash64(text_col).alias("of_th"), F.xxhash64(id_col, text_col, F.lit(seed)).alias("chance"))
+    joined = rows.join(by_text, F.col("of_id").eqNullSafe(F.col("id")) & (F.col("of_th") == F.col("th")))
+    chance = F.shiftrightunsigned("chance", 11).cast("double") / float(1 << 53)
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), F.floor(F.col("rate") + chance).cast("int"))).alias("copy")).select("row.*")

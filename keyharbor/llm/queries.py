@@ -65,11 +65,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from keyharbor.llm.line_dedup import dedup_lines
 
     kept = dedup_lines(table(spark, sf_dir, "documents"))
-    runs = F.filter("removed_lines", lambda x: ~F.array_contains("removed_lines", x - 1))
+    begins = F.filter(F.transform("removed_lines", lambda x, i: (i == 0) | (F.get("removed_lines", i - 1) < x - 1)), lambda b: b)
     return kept.select(
         "doc_id",
         F.size("removed_lines").cast("long").alias("n_removed"),
-        F.size(runs).cast("long").alias("n_runs"),
+        F.size(begins).cast("long").alias("n_runs"),
         F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
@@ -119,7 +119,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_embedding_dedup, op2_mixing, op3_simhash_dedup, op4_bpe_round_trip, op5_toxicity, op6_line_dedup, op7_suffix_dedup, op8_token_counts, op9_quality_rules, op10_secret_scan)}
 
-#: DuckDB SQL, for the queries that SQL can express.
+#: DuckDB SQL, for the queries that SQL can express. op6: a longer run than four lines is covered by its stretches of four, a shorter one is a stretch of one to three lines.
 ORACLE_SQL: dict[str, str] = {
     "op1_embedding_dedup": """
         WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), pairs AS (
@@ -138,17 +138,18 @@ ORACLE_SQL: dict[str, str] = {
             SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS w FROM lines
             WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
         ), l2 AS (
-            SELECT *, [line, lead(line, 1) OVER d] AS two, [line, lead(line, 1) OVER d, lead(line, 2) OVER d, lead(line, 3) OVER d] AS four,
-                sum(w) OVER (d ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS w2, lead(i, 1) OVER d AS e2, lead(i, 3) OVER d AS e4
+            SELECT *, [line, lead(line, 1) OVER d] AS two, [line, lead(line, 1) OVER d, lead(line, 2) OVER d] AS three, [line, lead(line, 1) OVER d, lead(line, 2) OVER d, lead(line, 3) OVER d] AS four,
+                sum(w) OVER (d ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) AS w2, sum(w) OVER (d ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING) AS w3, lead(i, 1) OVER d AS e2, lead(i, 2) OVER d AS e3, lead(i, 3) OVER d AS e4
             FROM l1 WINDOW d AS (PARTITION BY doc_id ORDER BY i)
         ), starts AS (
             SELECT doc_id, i,
                 (w >= 50 AND row_number() OVER (PARTITION BY line ORDER BY doc_id, i) > 1) AS s1,
                 (e2 IS NOT NULL AND w2 >= 50 AND row_number() OVER (PARTITION BY two ORDER BY doc_id, i) > 1) AS s2,
+                (e3 IS NOT NULL AND w3 >= 50 AND row_number() OVER (PARTITION BY three ORDER BY doc_id, i) > 1) AS s3,
                 (e4 IS NOT NULL AND row_number() OVER (PARTITION BY four ORDER BY doc_id, i) > 1) AS s4
             FROM l2
         ), gone AS (
-            SELECT doc_id, i, s1 OR max(s2) OVER (d ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) OR max(s4) OVER (d ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS g
+            SELECT doc_id, i, s1 OR max(s2) OVER (d ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) OR max(s3) OVER (d ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) OR max(s4) OVER (d ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS g
             FROM starts WINDOW d AS (PARTITION BY doc_id ORDER BY i)
         ), rest AS (
             SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE NOT coalesce(g, false)) AS kept,

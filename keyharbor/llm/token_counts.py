@@ -1,7 +1,7 @@
 """Token counts by an exact histogram of encoded lengths.
 
 Each document is encoded once and only its length leaves the task; the histogram is a partial aggregate, so its
-shuffle carries a row for each distinct length and task. Suffix sums over it answer, for every context limit at
+shuffle carries a row for each distinct length and task, and it is written (a row for each length) before anything is made of it. Suffix sums over it answer, for every context limit at
 once, how many documents reach it, how many tokens they hold and what is left when texts are cut there.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from keyharbor.llm.common import pieces
+from keyharbor.llm.common import pieces, written
 
 #: Lengths of one bucket of the two-level suffix sums: a window never holds more rows than this.
 BUCKET = 64
@@ -55,7 +55,8 @@ def length_histogram(lengths: DataFrame, length_col: str = "n_tokens") -> DataFr
     docs_at_least and tokens_at_least sum documents of L tokens or more; truncated_total is what remains in all when
     every text is cut to L tokens; quantile is the share of documents of at most L. An empty table gives no rows.
     """
-    counts = lengths.where(F.col(length_col).isNotNull()).groupBy(F.col(length_col).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs")).withColumn("bucket", F.floor(F.col("n_tokens") / BUCKET))
+    counts = lengths.where(F.col(length_col).isNotNull()).groupBy(F.col(length_col).alias("n_tokens")).agg(F.count(F.lit(1)).alias("n_docs"))
+    counts = written(counts.withColumn("bucket", F.floor(F.col("n_tokens") / BUCKET)), "lengths")  # used twice below: texts are encoded for it once
     totals = counts.groupBy("bucket").agg(F.sum("n_docs").alias("d"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("t"))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)  # over buckets: longest text / BUCKET rows
     all_of = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

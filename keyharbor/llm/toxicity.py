@@ -121,8 +121,11 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", settings:
             return Machine(8.0 if n_pos else -8.0)
         terms = _informative(sample, n_pos, n_neg, s)
         wanted = sample.sparkSession.createDataFrame([(int(t), i) for i, t in enumerate(terms.tolist())], "term long, place int")  # most_terms rows at most
-        held = sample.select("id", F.explode("terms").alias("term")).join(F.broadcast(wanted), "term").groupBy("id").agg(F.sort_array(F.collect_list("place")).alias("places"))
-        data = sorted((r["id"], r["y"], r["places"] or []) for r in sample.select("id", "y").join(held, "id", "left").collect())
+        # An id may have several texts: each keeps terms of its own.
+        texts = sample.select("id", "y", F.xxhash64("terms").alias("th"), "terms")
+        held = texts.select("id", "th", F.explode("terms").alias("term")).join(F.broadcast(wanted), "term").groupBy("id", "th").agg(F.sort_array(F.collect_list("place")).alias("places"))
+        found = texts.select("id", "th", "y").join(held, ["id", "th"], "left").collect()
+        data = [(r["id"], r["y"], r["places"] or []) for r in sorted(found, key=lambda r: (r["id"], r["y"], r["th"]))]
     finally:
         sample.unpersist()
     prior = _prior(labels, label_col)
