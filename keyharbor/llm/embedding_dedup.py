@@ -27,7 +27,7 @@ from keyharbor.llm.components import components
 #: Rows of a block of an index cell, and of the queries that visit it.
 BLOCK = 512
 #: Vectors of a cell, about, by which the grid grows.
-FILL = 64
+FILL = 200
 #: Bytes of vectors that a task works on at once.
 PIECE = 4 << 20
 #: Parts that a cell's rows are dealt in before they are cut into blocks.

@@ -7,20 +7,23 @@ task, so text is routed to shards by content:
 2. Every window of `least` bytes has an anchor: the least hash of the GRAM-byte strings in it. Equal windows have equal anchors,
    wherever they stand. Neighbouring windows of one anchor form a stretch. A block asks, for each of its stretches, who
    else has the anchor; questions are dealt by anchor, a row for each block and bucket.
-3. The answer tells which anchors stand in several documents, and which stretches another document has byte for byte. Only stretches whose
+3. The answer tells which anchors stand in several documents, and which stretches another document has as a whole: stretches are named by a
+   128-bit BLAKE2b digest of their bytes, and within a block those of one name are held against each other byte by byte. Only stretches whose
    anchor has several versions need more; one copy of each version goes to the anchor's shard.
-4. A shard sorts its suffixes by induced sorting and takes the common prefixes: suffixes that share `least` bytes are neighbours, and
+4. A shard sorts its suffixes by induced sorting and takes the permuted common prefixes: suffixes that share `least` bytes are neighbours, and
    all but those of the smallest id among them are found again.
 5. Blocks take what was found, at every place of their documents that has the version sent, and cut them.
 
 A very common string is one version for each block that holds it, however many documents do. An anchor with
-very many versions is dealt by whole windows instead of by anchor, so that no shard depends on one anchor.
+very many versions is dealt by whole windows instead of by anchor, so that no shard depends on one anchor. Shards are as many as the text asks for.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -31,8 +34,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from keyharbor.llm.common import parts_for, pieces, shared_dir, written
-from keyharbor.llm.suffix_array import long_enough, suffix_array, words64
+from keyharbor.llm.common import parts_for, pieces, run_dir, written
+from keyharbor.llm.suffix_array import permuted_prefixes, suffix_array, words64
+from keyharbor.sources.scratch import deleted
 
 #: Bytes of text of a block.
 BLOCK = 1 << 19
@@ -42,8 +46,8 @@ GRAM = 20
 LONGEST = 64
 #: Versions of an anchor beyond which it is dealt by windows.
 MANY = 2000
-#: Bytes of text that one suffix array is built over, about; a shard with more is worked in parts, by anchor.
-SORTED = 2 << 20
+#: Bytes of text of a shard, about: that is what one suffix array is built over.
+SORTED = 1 << 20
 #: Null ids: later than any other.
 NO_ID = np.iinfo(np.int64).max
 
@@ -72,15 +76,14 @@ class Stretches:
     """Stretches of a block: start, count (windows), doc (its place in the block), h (anchor), g (hash of the bytes)."""
 
     def __init__(self, data: np.ndarray, ends: np.ndarray, least: int):
-        n = len(data)
+        n, self.least = len(data), least
         none = np.zeros(0, np.int64)
         self.start, self.count, self.doc, self.h, self.g = none, none, none, none.astype(np.uint64), none.astype(np.uint64)
         if n < least:
             return
-        w = words64(data)
+        w = self.words = words64(data)
         m = n - GRAM + 1
         grams = _mixed(w[:m] * _MIX[0] ^ _mixed(w[8 : m + 8]) + w[GRAM - 8 : m + GRAM - 8])
-        del w
         span = least - GRAM + 1  # grams of a window
         low, width = grams, 1
         while width * 2 <= span:
@@ -109,13 +112,35 @@ class Stretches:
         return _mixed((self.sums[end] - self.sums[start]) * down[start] + count.astype(np.uint64))
 
     def versions(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(the stretch of each distinct (h, g) that stands in the least id, in order of h and g; for each stretch, which of those is its own)."""
+        """(the stretch of each distinct (h, bytes) that stands in the least id, in order of h and g; for each stretch, which of those is its own)."""
         order = np.lexsort((ids[self.doc], self.g, self.h))
         h, g = self.h[order], self.g[order]
         first = np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])) if len(order) else np.zeros(0, bool)
         own = np.empty(len(order), np.int64)
         own[order] = np.cumsum(first) - 1
-        return order[first], own
+        v = order[first]
+        # Hashes only bring stretches together; bytes decide. One that differs all the same is a version of its own.
+        other = np.flatnonzero(~self.alike(self.start, self.start[v[own]], self.count + self.least - 1))
+        own[other] = len(v) + np.arange(len(other))
+        return np.concatenate((v, other)), own
+
+    def alike(self, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Whether `size` bytes from a on and from b on are the same."""
+        out, at, o = np.ones(len(a), bool), np.flatnonzero(a != b), 0
+        while len(at):
+            whole = size[at] >= o + 8
+            step = np.where(whole, o, np.maximum(size[at] - 8, 0))  # the last eight bytes; sizes are over eight
+            good = self.words[a[at] + step] == self.words[b[at] + step]
+            out[at[~good]] = False
+            at, o = at[good & (size[at] > o + 8)], o + 8
+        return out
+
+
+def _digests(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Names of byte strings: two numbers each."""
+    named = hashlib.blake2b
+    raw = b"".join([named(data[a : a + n], digest_size=16).digest() for a, n in zip(start.tolist(), size.tolist(), strict=True)])
+    return np.frombuffer(raw, "<u8").reshape(-1, 2)
 
 
 def _packed(raw: bytes) -> bytes:
@@ -144,8 +169,17 @@ def _ids(block_ids: list[int | None]) -> np.ndarray:
     return np.array([NO_ID if i is None else i for i in block_ids], np.int64)
 
 
-def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(block, ids, ends, data): documents packed into blocks (data: their bytes, packed), as a table bucketed by block. Each task writes one bucket."""
+@dataclass
+class Blocks:
+    """rows: (block, ids, ends, data), documents packed into blocks (data: their bytes, packed); a catalog table of that name and path, bucketed by block, for as long as joins need it."""
+
+    rows: DataFrame
+    table: str
+    path: str
+
+
+def blocks(docs: DataFrame, id_col: str, text_col: str) -> Blocks:
+    """The blocks of the documents; as many buckets as partitions or more, so that one holds some blocks only."""
     spark = docs.sparkSession
     schema = StructType([StructField("block", LongType()), StructField("ids", ArrayType(LongType())), StructField("ends", ArrayType(IntegerType())), StructField("data", BinaryType())])
 
@@ -159,9 +193,12 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             block += 1
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text_col).mapInArrow(packed, schema)
-    name, parts = f"keyharbor_blocks_{uuid.uuid4().hex}", parts_for(spark)
-    rows.repartition(parts, "block").write.bucketBy(parts, "block").option("compression", "none").option("path", f"{shared_dir(spark)}/tables/{name}").saveAsTable(name)
-    return spark.table(name)
+    # As many buckets as Spark cuts the input into, which goes by its bytes; this reads no text.
+    name, splits = f"keyharbor_blocks_{uuid.uuid4().hex}", docs.select(F.spark_partition_id().alias("p")).distinct().count()
+    parts = min(max(parts_for(spark), splits), int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    path = f"{run_dir(spark)}/{name}"
+    rows.repartition(parts, "block").write.bucketBy(parts, "block").option("compression", "none").option("path", path).saveAsTable(name)
+    return Blocks(spark.table(name), name, path)
 
 
 def _questions(packed: DataFrame, least: int, buckets: int) -> DataFrame:
@@ -174,12 +211,15 @@ def _questions(packed: DataFrame, least: int, buckets: int) -> DataFrame:
                 ids, data = _ids(ids), _opened(data)
                 s = Stretches(np.frombuffer(data, np.uint8), np.array(ends), least)
                 v, _ = s.versions(ids)
-                h, g, d = s.h[v], s.g[v], ids[s.doc[v]]
+                h, d = s.h[v], ids[s.doc[v]]
+                g = _digests(data, s.start[v], s.count[v] + least - 1)
+                order = np.argsort(h, kind="stable")  # versions come by h, but for those that bytes told apart
+                h, d, g = h[order], d[order], g[order]
                 bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1))
                 some = np.flatnonzero(np.diff(cuts))
-                # 48 bits of the anchor beside its bucket, 48 of the version.
-                asked = [_pack(*(x.astype(t) for x, t in ((h[a:z], "<u4"), (h[a:z] >> np.uint64(32) & np.uint64(0xFFFF), "<u2"), (g[a:z], "<u4"), (g[a:z] >> np.uint64(32) & np.uint64(0xFFFF), "<u2"), (d[a:z], "<u4"), (d[a:z] >> 32, "<i4")))) for a, z in zip(cuts[some], cuts[some + 1], strict=True)]
+                # 48 bits of the anchor beside its bucket, 128 of the version.
+                asked = [_pack(*(x.astype(t) for x, t in ((h[a:z], "<u4"), (h[a:z] >> np.uint64(32) & np.uint64(0xFFFF), "<u2"), (g[a:z, 0], "<u8"), (g[a:z, 1], "<u8"), (d[a:z], "<u4"), (d[a:z] >> 32, "<i4")))) for a, z in zip(cuts[some], cuts[some + 1], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(np.full(len(some), block), pa.int64()), pa.array(asked, pa.binary())], names=schema.names)
 
     return packed.select("block", "ids", "ends", "data").mapInArrow(ask, schema)
@@ -194,14 +234,14 @@ def _answers(questions: DataFrame) -> DataFrame:
     schema = StructType([StructField("bucket", IntegerType()), StructField("block", LongType()), StructField("told", BinaryType())])
 
     def tell(group: pa.Table) -> pa.Table:
-        asked = [_unpack(x, "<u4", "<u2", "<u4", "<u2", "<u4", "<i4") for x in group["asked"].to_pylist()]
+        asked = [_unpack(x, "<u4", "<u2", "<u8", "<u8", "<u4", "<i4") for x in group["asked"].to_pylist()]
         sizes = [len(x[0]) for x in asked]
-        h0, h1, g0, g1, d0, d1 = (np.concatenate([x[k] for x in asked]).astype(np.int64) for k in range(6))
-        h, g, d = h1 << 32 | h0, g1 << 32 | g0, d1 << 32 | d0
-        order = np.lexsort((d, g, h))
-        h, g, d = h[order], g[order], d[order]
+        h0, h1, g, g1, d0, d1 = (np.concatenate([x[k] for x in asked]) for k in range(6))
+        h, d = h1.astype(np.int64) << 32 | h0, d1.astype(np.int64) << 32 | d0
+        order = np.lexsort((d, g1, g, h))
+        h, g, g1, d = h[order], g[order], g1[order], d[order]
         new_h = np.append(True, h[1:] != h[:-1])
-        new_v = new_h | np.append(True, g[1:] != g[:-1])
+        new_v = new_h | np.append(True, (g[1:] != g[:-1]) | (g1[1:] != g1[:-1]))
         at = np.flatnonzero(new_v)
         least = d[at]  # of each version
         anchors = np.flatnonzero(new_h[at])
@@ -242,11 +282,11 @@ def _everywhere(start: np.ndarray, count: np.ndarray, places: np.ndarray) -> tup
 SPAN = StructType([StructField("start", IntegerType()), StructField("end", IntegerType())])
 
 
-def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
-    """For each block a row with `gone`, edges of the bytes that go by its answers, and `places`, where its documents have what is sent once (shard null); and (shard, key, block, start, id, text) of what shards
+def _picked(known: DataFrame, least: int) -> DataFrame:
+    """For each block a row with `gone`, edges of the bytes that go by its answers, and `places`, where its documents have what is sent once (key null); and (key, block, start, id, text) of what shards
     sort: versions of an anchor, or the windows of those that are spread."""
-    schema = StructType([StructField("shard", IntegerType()), StructField("key", LongType()), StructField("block", LongType()), StructField("start", IntegerType()), StructField("id", LongType()), StructField("text", BinaryType()), StructField("gone", ArrayType(IntegerType())), StructField("places", ArrayType(IntegerType()))])
-    types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+    schema = StructType([StructField("key", LongType()), StructField("block", LongType()), StructField("start", IntegerType()), StructField("id", LongType()), StructField("text", BinaryType()), StructField("gone", ArrayType(IntegerType())), StructField("places", ArrayType(IntegerType()))])
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()))
     row = lambda *columns: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +295,8 @@ def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
             ids, data = _ids(ids), _opened(data)
             s = Stretches(np.frombuffer(data, np.uint8), np.array(ends), least)
             v, own = s.versions(ids)
-            codes = np.concatenate([_unpack(x["told"], "u1")[0] for x in sorted(told or [], key=lambda x: x["bucket"])] + [np.zeros(0, np.uint8)])
+            codes = np.zeros(len(v), np.uint8)
+            codes[np.argsort(s.h[v], kind="stable")] = np.concatenate([_unpack(x["told"], "u1")[0] for x in sorted(told or [], key=lambda x: x["bucket"])] + [np.zeros(0, np.uint8)])
             goes = (codes[own] == GOES) | (ids[s.doc] > ids[s.doc[v]][own])
             a, b = v[codes == COMPARE], v[codes == SPREAD]
             # The least id may have a version again: what is found for the stretch sent holds there too.
@@ -270,21 +311,23 @@ def _picked(known: DataFrame, least: int, shards: int) -> DataFrame:
             who = ids[np.repeat(s.doc[b], reps)]
             order = np.lexsort((who, window))
             start, window, who = start[order], window[order], who[order]
-            heads = np.flatnonzero(np.append(True, window[1:] != window[:-1])[: len(window)])
+            new = np.append(True, window[1:] != window[:-1])[: len(window)]
+            if len(window):
+                new[1:] |= ~s.alike(start[1:], start[:-1], np.full(len(start) - 1, least))
+            heads = np.flatnonzero(new)
             later = who > np.repeat(who[heads], np.diff(np.append(heads, len(who))))
             lost, windows = _everywhere(start[later], np.ones(later.sum(), np.int64), places)
             gone = _covered(len(data), np.concatenate((s.start[goes], lost)), np.concatenate((s.count[goes], windows)), least)
-            yield row([None], [None], [block], [None], [None], [None], [gone], [places.ravel()])
+            yield row([None], [block], [None], [None], [None], [gone], [places.ravel()])
             start, window, who = start[~later], window[~later], who[~later]
             key = np.concatenate((s.h[a], window)).view(np.int64)
             starts = np.concatenate((s.start[a], start))
             size = np.concatenate((s.count[a], np.ones(len(start), np.int64))) + least - 1
             owner = np.concatenate((ids[s.doc[a]], who))
-            shard = (key.view(np.uint64) % np.uint64(shards)).astype(np.int32)
             for i in range(0, len(key), 20_000):
                 z = slice(i, i + 20_000)
                 texts = [data[x : x + n] for x, n in zip(starts[z].tolist(), size[z].tolist(), strict=True)]
-                yield row(shard[z], key[z], np.full(len(texts), block), starts[z].astype(np.int32), owner[z], texts, [None] * len(texts), [None] * len(texts))
+                yield row(key[z], np.full(len(texts), block), starts[z].astype(np.int32), owner[z], texts, [None] * len(texts), [None] * len(texts))
 
     return known.select("block", "ids", "ends", "data", "told").mapInArrow(pick, schema)
 
@@ -298,8 +341,8 @@ def repeated(texts: list[bytes], ids: np.ndarray, least: int) -> list[tuple[int,
     t[begins + sizes] = 1  # between texts
     text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes + 1)
     valid = np.arange(len(t)) + least <= (begins + sizes)[text]
-    sa = suffix_array(np.append(t, 0), least)[1:]
-    same = long_enough(joined, sa, valid, least)
+    sa = suffix_array(np.append(t, 0))[1:]
+    same = permuted_prefixes(joined, sa, (begins + sizes)[text] - np.arange(len(t)), least) >= least
     rows = sa[valid[sa]]
     heads = np.flatnonzero(~same[rows])
     lowest = np.minimum.reduceat(ids[text[rows]], heads)
@@ -315,19 +358,14 @@ def _sorted_shards(candidates: DataFrame, least: int) -> DataFrame:
     schema = StructType([StructField("block", LongType()), StructField("start", IntegerType()), StructField("count", IntegerType())])
 
     def sort(group: pa.Table) -> pa.Table:
-        key, block, start, ids = (group[c].to_numpy() for c in ("key", "block", "start", "id"))
-        texts = group["text"].to_pylist()
-        parts = 1 + sum(map(len, texts)) // SORTED
-        part = (_mixed(key.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-        out: list[tuple[int, int, int]] = []
-        for p in range(parts):
-            at = np.flatnonzero(part == p)
-            if len(at) > 1:
-                out += [(int(block[at[k]]), int(start[at[k]]) + a, n) for k, a, n in repeated([texts[i] for i in at.tolist()], ids[at], least)]
+        block, start, ids = (group[c].to_numpy() for c in ("block", "start", "id"))
+        out = [(int(block[k]), int(start[k]) + a, n) for k, a, n in repeated(group["text"].to_pylist(), ids, least)] if group.num_rows > 1 else []
         columns = list(zip(*out, strict=True)) or [(), (), ()]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=schema.names)
 
-    return candidates.groupBy("shard").applyInArrow(sort, schema)
+    # As many shards as the text asks for: none grows with it. Texts of one key meet in one shard.
+    size = candidates.agg(F.sum(F.length("text"))).first()[0] or 0
+    return candidates.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(1 + size // SORTED))).groupBy("shard").applyInArrow(sort, schema)
 
 
 def _cut(found: DataFrame, least: int) -> DataFrame:
@@ -365,14 +403,23 @@ def dedup_substrings(docs: DataFrame, least: int = 50, id_col: str = "doc_id", t
     """
     if least <= GRAM:
         raise ValueError(f"least is over {GRAM}")
-    parts = parts_for(docs.sparkSession)
     packed = blocks(docs, id_col, text_col)
+    spark, name = docs.sparkSession, packed.table
+    try:
+        out = written(_cut(_found(packed.rows, least), least), "cut")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        deleted(spark, packed.path)
+    return out.withColumnRenamed("id", id_col)
+
+
+def _found(packed: DataFrame, least: int) -> DataFrame:
+    """packed, with what is to be cut from each block."""
     # A bucket's questions are held by one task: their number follows the text, whatever the number of partitions is.
-    answers = _answers(_questions(packed, least, max(2 * parts, packed.count() // 8)))
+    answers = _answers(_questions(packed, least, max(2 * parts_for(packed.sparkSession), packed.count() // 8)))
     told = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "told")).alias("told")).withColumnRenamed("block", "_block")
-    picked = written(_picked(packed.join(told, packed["block"] == told["_block"], "left"), least, 2 * parts), "picked")
-    gone = picked.where("shard IS NULL").select(F.col("block").alias("_gone_of"), "gone", "places")
-    windows = written(_sorted_shards(picked.where("shard IS NOT NULL").drop("gone", "places"), least), "windows")
+    picked = written(_picked(packed.join(told, packed["block"] == told["_block"], "left"), least), "picked")
+    gone = picked.where("key IS NULL").select(F.col("block").alias("_gone_of"), "gone", "places")
+    windows = written(_sorted_shards(picked.where("key IS NOT NULL").drop("gone", "places"), least), "windows")
     windows = windows.groupBy("block").agg(F.collect_list(F.struct("start", "count")).alias("windows")).withColumnRenamed("block", "_of")
-    known = packed.join(gone, packed["block"] == gone["_gone_of"]).join(windows, packed["block"] == windows["_of"], "left")
-    return _cut(known, least).withColumnRenamed("id", id_col)
+    return packed.join(gone, packed["block"] == gone["_gone_of"]).join(windows, packed["block"] == windows["_of"], "left")

@@ -213,7 +213,7 @@ def brute_removed(rows, runs):
     order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, xxhash_of(r[1])))
     sequences = [(r, [(k, x) for k, x in enumerate((r[1] or "").split("\n")) if words(x)]) for r in order]
     out = defaultdict(set)
-    for n in runs.lengths:
+    for n in range(1, 1 + max(len(s) for _, s in sequences)):
         seen = set()
         for r, s in sequences:
             for p in range(len(s) - n + 1):
@@ -229,7 +229,7 @@ def xxhash_of(t: str | None) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-@pytest.mark.parametrize("runs", [line_dedup.Runs(), line_dedup.Runs(min_lines=2, min_words=8), line_dedup.Runs(min_lines=1)])
+@pytest.mark.parametrize("runs", [line_dedup.Runs(), line_dedup.Runs(min_lines=2, min_words=8), line_dedup.Runs(min_lines=1), line_dedup.Runs(min_lines=3, min_words=100)])
 def test_line_dedup(docs, empty, runs):
     found = line_dedup.dedup_lines(docs, runs).collect()
     gone = brute_removed(texts(), runs)
@@ -243,7 +243,7 @@ def test_line_dedup(docs, empty, runs):
     assert line_dedup.dedup_lines(empty, runs).count() == 0
 
 
-@pytest.mark.parametrize("runs", [line_dedup.Runs(whole=True), line_dedup.Runs(min_lines=8, min_words=50, whole=True)])
+@pytest.mark.parametrize("runs", [line_dedup.Runs(), line_dedup.Runs(min_lines=8, min_words=50)])
 def test_whole_runs_of_any_number_of_lines_go(spark, runs):
     lines = [" ".join(f"w{k}x{j}" for j in range(11 + k)) for k in range(9)]
     rows = [(1, "\n".join(["head", *lines, "tail"]))] + [(10 * a + n, "\n".join([f"before {a} {n}", *lines[a : a + n], "", f"after {a} {n}"])) for a in range(1, 7) for n in range(1, 4)]
@@ -266,13 +266,17 @@ def test_the_stage_of_lines_takes_three_lines_of_twenty_words(spark):
 
 
 def test_suffix_ranks_order_suffixes(docs):
-    rows = line_dedup.suffix_ranks(docs.where("doc_id IN (23, 24, 25)"), [1, 2, 4]).collect()
-    lines = {i: t.split("\n") for i, t in texts() if i in (23, 24, 25)}
-    key = lambda r: tuple(x for x in lines[r["id"]][r["line_no"] :] if words(x))[:4]
-    equal = defaultdict(set)
-    for r in rows:
-        equal[r["rank"]].add(key(r))
-    assert all(len(x) == 1 for x in equal.values()) and len(equal) == len({key(r) for r in rows})
+    """Each level's ranks are shared by the suffixes of equal first lines, and levels go on until none is shared."""
+    lines = line_dedup.line_sequences(docs, "doc_id", "text").select("id", "th", F.posexplode("lines").alias("i", "l")).select("id", "th", "i", "l.a", "l.b").cache()
+    held = {(r["id"], r["th"], r["i"]): r["a"] for r in lines.collect()}
+    levels = line_dedup.suffix_ranks(lines)
+    prefix = lambda r, n: tuple(held.get((r["id"], r["th"], r["i"] + k)) for k in range(n))
+    for t, level in enumerate(levels):
+        rows, n = level.collect(), 1 << t
+        assert len({(r["rank"], prefix(r, n)) for r in rows}) == len({r["rank"] for r in rows}) == len({prefix(r, n) for r in rows})
+        every = Counter(p for p in (prefix({"id": k[0], "th": k[1], "i": k[2]}, n) for k in held) if None not in p)
+        assert len(rows) == sum(c for c in every.values() if c > 1)
+    assert not [p for p, c in Counter(prefix({"id": k[0], "th": k[1], "i": k[2]}, 1 << len(levels)) for k in held).items() if c > 1 and None not in p]
 
 
 # 7
@@ -330,7 +334,7 @@ def test_suffix_array_orders_all_suffixes():
     rng = np.random.default_rng(7)
     for _ in range(150):
         t = np.append(rng.integers(1, rng.integers(2, 6), rng.integers(1, 80)), 0).astype(np.int32)
-        assert suffix_array(t, 200).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+        assert suffix_array(t).tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
 
 
 # 9
