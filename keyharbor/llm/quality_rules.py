@@ -3,17 +3,21 @@
 One pass measures every document. Per (lang, source) a mergeable quantile sketch of each signal gives its
 quartiles; a document goes when a signal lies outside the fences that its own group sets, so that a
 source of short or symbol-rich texts isn't judged by the habits of another. The thresholds are joined back to the
-measured rows. Sketches merge in partial aggregates: a source with a third of all rows costs no task more than others.
+measured rows.
+
+A sketch counts values by buckets whose bounds grow by a constant factor, so that a quantile is off by a fixed share of its value at most. Counts add up: sketches merge in
+partial aggregates, whatever the partitions are, and the same table always gives the same thresholds. A source with a third of all rows costs no task more than others.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyharbor.llm.common import BLANKS, written
+from keyharbor.llm.common import BLANKS, whole_row, written
 
 #: Words of a window whose repetition counts.
 WINDOW = 5
@@ -23,15 +27,25 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Fences:
-    """accuracy: of the sketches (a quantile's rank is off by at most 1 / accuracy). least_rows: smaller groups take the thresholds of all rows.
+    """error: of the sketches, as a share of a quantile's value. least_rows: smaller groups take the thresholds of all rows.
 
-    signals: for each, how many interquartile ranges beyond the third quartile a document may lie, and the room that
-    it has beyond the quartile in any group (ranges can be zero).
+    reach: how far beyond its group's quartiles a document may lie: so many interquartile ranges, or so many of its own smallest steps where those are more (one symbol or capital
+    letter, one repeated line, one repeated window, one word of thrice the usual length), for ranges can be zero and short texts have large steps.
     """
 
-    accuracy: int = 1000
+    error: float = 0.002
     least_rows: int = 50
-    signals: tuple[tuple[str, float, float], ...] = (("mean_word", 6.0, 4.0), ("symbol_share", 6.0, 0.08), ("upper_share", 6.0, 0.3), ("dup_line_share", 6.0, 0.5), ("repeat_share", 6.0, 0.2))
+    reach: float = 8.0
+
+
+#: Signals, and the smallest step that a document can make in each.
+SIGNALS = {
+    "mean_word": lambda: F.try_divide(2 * F.col("high_mean_word"), F.col("n_words")),
+    "symbol_share": lambda: F.try_divide(F.lit(1.0), F.col("word_chars")),
+    "upper_share": lambda: F.try_divide(F.lit(1.0), F.col("word_chars")),
+    "dup_line_share": lambda: F.try_divide(F.lit(1.0), F.col("n_lines")),
+    "repeat_share": lambda: F.try_divide(F.lit(2.0 * WINDOW), F.col("n_words")),
+}
 
 
 def _over(part: Column, whole: Column) -> Column:
@@ -87,33 +101,61 @@ def _shares(measured: DataFrame) -> DataFrame:
     )
 
 
-def thresholds(measured: DataFrame, by: tuple[str, ...] = ("lang", "source"), fences: Fences = Fences()) -> DataFrame:
-    """(*by, n_rows, a fence for each signal): the upper fence of each group, from one sketch for each signal."""
-    sketches = [F.percentile_approx(name, [0.25, 0.75], fences.accuracy).alias(f"q_{name}") for name, _, _ in fences.signals]
-    found = _shares(measured).groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *sketches)
-    fence = lambda name, reach, room: F.get(f"q_{name}", F.lit(1)) + F.greatest(reach * (F.get(f"q_{name}", F.lit(1)) - F.get(f"q_{name}", F.lit(0))), F.lit(room))
-    return found.select(*by, "n_rows", *(fence(*s).alias(f"most_{s[0]}") for s in fences.signals))
+def sketches(measured: DataFrame, by: tuple[str, ...] = ("lang", "source"), fences: Fences = Fences()) -> DataFrame:
+    """(*by, signal, bucket, n): for each group and signal, the documents by buckets of its value. Bucket k holds values from base^(k-1), exclusive, to base^k; null is zero."""
+    base = math.log((1 + fences.error) / (1 - fences.error))
+    bucket = lambda x: F.when(F.col(x) > 0, F.ceil(F.log(F.col(x)) / base)).cast("int")
+    each = F.array(*(F.struct(F.lit(x).alias("signal"), bucket(x).alias("bucket")) for x in SIGNALS))
+    return _shares(measured).select(*by, F.explode(each).alias("s")).groupBy(*by, "s.signal", "s.bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+def thresholds(sketch: DataFrame, by: tuple[str, ...] = ("lang", "source"), fences: Fences = Fences()) -> DataFrame:
+    """(*by, n_rows, low_<signal>, high_<signal>): the first and third quartile of each signal in each group of the sketches; other groupings of the same sketches are their sums."""
+    base = (1 + fences.error) / (1 - fences.error)
+    merged = sketch.groupBy(*by, "signal", "bucket").agg(F.sum("n").alias("n"))
+    of = Window.partitionBy(*by, "signal")  # a row for each bucket
+    ranked = merged.withColumn("upto", F.sum("n").over(of.orderBy(F.asc_nulls_first("bucket")))).withColumn("all", F.sum("n").over(of))
+    value = F.when(F.col("bucket").isNull(), 0.0).otherwise(2 * F.pow(F.lit(base), F.col("bucket")) / (base + 1))
+    at = lambda share: F.min(F.when(F.col("upto") >= F.ceil(share * F.col("all")), value))
+    found = ranked.groupBy(*by, "signal").agg(F.max("all").alias("all"), at(0.25).alias("low"), at(0.75).alias("high"))
+    of_signal = lambda x, c: F.max(F.when(F.col("signal") == x, F.col(c)))
+    return found.groupBy(*by).agg(F.max("all").alias("n_rows"), *(of_signal(x, c).alias(f"{c}_{x}") for x in SIGNALS for c in ("low", "high")))
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("lang", "source"), fences: Fences = Fences()) -> DataFrame:
-    """signals() and base_failed, kept of every row.
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("lang", "source"), fences: Fences = Fences(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """signals() and base_failed, kept of every row (with the columns `keep` of docs, whose names are none of a signal's).
 
-    base_failed: fewer than 10 words, or over 20 % of them repeat. kept: not base_failed, and no signal above the fence
-    of the row's group; a null lang or source is a group of its own; a group of few rows takes the fences of all rows.
+    base_failed: fewer than 10 words, or over 20 % of them repeat. kept: not base_failed, and no signal outside the fences
+    of the row's group; a null lang or source is a group of its own; a group of few rows takes the fences of all rows. Documents that fail the base rule set no fences.
     An empty table gives no rows.
     """
-    measured = written(signals(docs, id_col, text_col, by), "signals")
+    measured = written(signals(docs, id_col, text_col, (*by, *keep)), "signals")
     clean = measured.where((F.col("n_words") >= 10) & (100 * F.col("n_repeat_words") <= 20 * F.col("n_words")))
-    groups = thresholds(clean, by, fences)
+    sketch = written(sketches(clean, by, fences), "sketches")
+    names = [f"{c}_{x}" for x in SIGNALS for c in ("low", "high")]
     # groups is small where sources are few: Spark then broadcasts it by its measured size; else the join is a plain one, and skew is split.
-    names = [f"most_{name}" for name, _, _ in fences.signals]
-    groups = groups.where(F.col("n_rows") >= fences.least_rows).select(*(F.col(b).alias(f"_{b}") for b in by), *names)
-    common = thresholds(clean, (), fences).select(*(F.col(x).alias(f"all_{x}") for x in names))
+    groups = thresholds(sketch, by, fences).where(F.col("n_rows") >= fences.least_rows).select(*(F.col(b).alias(f"_{b}") for b in by), *(F.col(x).alias(f"own_{x}") for x in names))
+    common = thresholds(sketch, (), fences).select(*(F.col(x).alias(f"all_{x}") for x in names))  # one row
     same = [measured[b].eqNullSafe(groups[f"_{b}"]) for b in by]
-    # common is one row; it joins on a constant, so that this isn't a cross join.
-    joined = _shares(measured.join(groups, same, "left")).withColumn("_one", F.lit(1)).join(F.broadcast(common.withColumn("_one", F.lit(1))), "_one")
+    joined = _shares(measured).join(groups, same, "left").join(F.broadcast(common), how="left")
+    joined = joined.withColumns({x: F.coalesce(f"own_{x}", f"all_{x}") for x in names})
     outside = F.lit(False)
-    for name, _, _ in fences.signals:
-        outside = outside | (F.col(name) > F.coalesce(f"most_{name}", f"all_most_{name}", F.lit(float("inf"))))
+    for x, step in SIGNALS.items():
+        low, high = F.col(f"low_{x}"), F.col(f"high_{x}")
+        room = fences.reach * F.greatest(high - low, F.coalesce(step(), F.lit(0.0)))
+        outside = outside | (F.col(x) > high + room) | (F.col(x) < low - room)
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return joined.withColumn("base_failed", base_failed).withColumn("kept", ~F.col("base_failed") & ~outside).select(*measured.columns, "base_failed", "kept")
+    return joined.withColumn("base_failed", base_failed).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False))).select(*measured.columns, "base_failed", "kept")
+
+
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", by: tuple[str, ...] = ("lang", "source"), fences: Fences = Fences()) -> DataFrame:
+    """The rows of docs that judged() keeps, all columns as they are: rows of one id are told apart by their text, and of one text by their group."""
+    th = (F.xxhash64(text_col), F.xxhash64(F.lit(1), F.col(text_col)))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *(F.col(b).alias(f"by{k}") for k, b in enumerate(by)), th[0].alias("th"), th[1].alias("th2"))
+    names = tuple(f"by{k}" for k in range(len(by)))
+    good = judged(rows, "id", "text", names, fences, ("th", "th2")).where("kept").select("id", "th", "th2", *names).distinct()
+    all_of = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("_id"), th[0].alias("_th"), th[1].alias("_th2"), *(F.col(b).alias(f"_{n}") for b, n in zip(by, names, strict=True)))
+    same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_th") == F.col("th")) & (F.col("_th2") == F.col("th2"))
+    for n in names:
+        same = same & F.col(f"_{n}").eqNullSafe(F.col(n))
+    return all_of.join(good, same, "left_semi").select("row.*")

@@ -2,7 +2,9 @@
 
 import base64
 import hashlib
+import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from keyharbor.llm import bpe, components, embedding_dedup, line_dedup, mixing, quality_rules, secret_scan, shingle_dedup, simhash_dedup, suffix_dedup, token_counts, toxicity
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-CLASHES = ["id", "fp", "node", "component", "th", "rank", "removed", "score", "ids", "n_tokens", "spans", "a", "b", "y", "terms", "block", "key", "bucket", "lines", "n", "v", "group", "rate", "tokens", "n_words", "kept", "_id", "_th", "_key", "line_no", "label"]
+CLASHES = ["id", "fp", "node", "component", "th", "rank", "removed", "score", "ids", "n_tokens", "spans", "a", "b", "y", "terms", "block", "key", "bucket", "lines", "n", "v", "group", "rate", "tokens", "n_words", "kept", "_id", "_th", "_key", "line_no", "label", "_copy", "_rate", "row", "copy", "chance", "of_id", "left", "rest", "signal", "i", "m", "__at"]
 
 LONG = "x" * 60_000
 PASSAGE = "A passage of the common kind stands in many documents and is long enough to be found by any of them"
@@ -362,8 +364,52 @@ def test_thresholds_follow_the_group(spark):
     rows = spark.createDataFrame(plain + marked + odd, "doc_id long, text string, lang string, source string")
     kept = {r["doc_id"]: r["kept"] for r in quality_rules.judged(rows).collect() if not r["base_failed"]}
     assert not kept[5000] and all(v for k, v in kept.items() if k < 5000)
-    found = {r["source"]: r for r in quality_rules.thresholds(quality_rules.signals(rows, keep=("lang", "source"))).collect()}
-    assert found["tables"]["most_symbol_share"] > found["news"]["most_symbol_share"]
+    sketch = quality_rules.sketches(quality_rules.signals(rows, keep=("lang", "source")))
+    found = {r["source"]: r for r in quality_rules.thresholds(sketch).collect()}
+    assert found["tables"]["high_symbol_share"] > found["news"]["high_symbol_share"]
+    again = {r["source"]: r for r in quality_rules.thresholds(quality_rules.sketches(quality_rules.signals(rows.repartition(7), keep=("lang", "source")))).collect()}
+    assert again == found  # whatever the partitions are
+
+
+def brute_kept(rows, fences):
+    """By (id, text, lang, source): whether the rules keep it. Quartiles are bucket values of the ordered signals."""
+    base = (1 + fences.error) / (1 - fences.error)
+    rough = lambda x: 0.0 if x <= 0 else 2 * base ** math.ceil(math.log(x) / math.log(base)) / (base + 1)
+    measured = {}
+    for i, t, lang, source in rows:
+        w = words(t)
+        grams = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+        again = len({k + j for k in range(len(w) - 4) if grams[tuple(w[k : k + 5])] > 1 for j in range(5)})
+        lines, chars = [x for x in (t or "").split("\n") if words(x)], sum(map(len, w))
+        share = lambda a, b: a / b if b else 0.0
+        values = [share(chars, len(w)), share(sum(c in "#*$%&|<>" for c in t or ""), chars), share(sum(unicodedata.category(c) == "Lu" for c in t or ""), chars), share(len(lines) - len(set(lines)), len(lines)), share(again, len(w))]
+        measured[(i, t, lang, source)] = values, [None, *(share(n, d) for n, d in ((1, chars), (1, chars), (1, len(lines)), (10, len(w))))], len(w), len(w) < 10 or 100 * again > 20 * len(w)
+    groups = defaultdict(list)
+    for key in rows:
+        if not measured[key][3]:
+            for g in (key[2:], "all"):
+                groups[g].append(measured[key][0])
+    out = {}
+    for key, (values, steps, n, failed) in measured.items():
+        group = groups[key[2:]] if len(groups[key[2:]]) >= fences.least_rows else groups["all"]
+        good = not failed
+        for k in range(5) if good else ():
+            ordered = sorted(x[k] for x in group)
+            low, high = (rough(ordered[math.ceil(q * len(ordered)) - 1]) for q in (0.25, 0.75))
+            room = fences.reach * max(high - low, steps[k] if k else 2 * high / n)
+            good = good and low - room <= values[k] <= high + room
+        out[key] = good
+    return out
+
+
+def test_kept_against_a_plain_version(spark, data):
+    table = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rows = [tuple(r) for r in table.collect()] + [(1, None, "en", "src0"), (None, "", None, None)]
+    df = spark.createDataFrame(rows, table.schema)
+    for fences in (quality_rules.Fences(), quality_rules.Fences(least_rows=10, reach=1.0)):
+        expected = brute_kept(rows, fences)
+        found = {(r["doc_id"], r["text"], r["lang"], r["source"]) for r in quality_rules.kept_documents(df, fences=fences).collect()}
+        assert found == {k for k, good in expected.items() if good} and 0 < len(found) < len(rows)
 
 
 # 10
