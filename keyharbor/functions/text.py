@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -83,30 +84,43 @@ def is_fuzzy(text: Column, term: str, distance: int) -> Column:
     return F.exists(tokens(text), lambda t: F.levenshtein(t, F.lit(term.lower()), distance) >= 0)
 
 
+def _is(word: str) -> Callable[[Column], Column]:
+    return lambda t: t == word
+
+
 def has_phrase(text: Column, words: list[str], slop: int | None = None, in_order: bool | None = None) -> Column:
     """The words stand together: with at most `slop` other tokens among them (none if not given), in order unless in_order is False.
 
-    The slop is for all gaps together. Words are few, and so is the slop: their ways to share it are written out.
+    The slop is for all gaps together. A word that is said twice has to stand twice. Texts that lack one of the words aren't cut into tokens.
     """
     wanted = [w for word in words for w in words_of(word)]
     if not wanted:
         return F.lit(True)
-    room = slop or 0
-    if in_order is not False:
-        # One pattern over the tokens, with every way to spend the room between neighbours.
-        ways = [""]
-        for k, word in enumerate(wanted):
-            ways = [w + f" {_gap(g)}{re.escape(word)}" for w in ways for g in (range(room + 1) if k else [0])]
-        ways = [w for w in ways if sum(map(int, re.findall(r"\{(\d+)\}", w))) <= room]
-        return F.concat(F.lit(" "), F.array_join(tokens(text), " "), F.lit(" ")).rlike(f"(?:{'|'.join(ways)}) ")
-    # In any order: some window that begins with one of the words holds them all. The one-element array names the tokens, so that they are made once.
-    some = F.array(*(F.lit(w) for w in sorted(set(wanted))))
-    holds = lambda t, i: F.array_contains(some, F.get(t, i)) & (F.size(F.array_intersect(F.slice(t, i + 1, len(wanted) + room), some)) == len(set(wanted)))
-    return F.exists(F.array(tokens(text)), lambda t: F.exists(F.sequence(F.lit(0), F.greatest(F.size(t) - 1, F.lit(0))), lambda i: holds(t, i)))
-
-
-def _gap(n: int) -> str:
-    return f"(?:[^ ]+ ){{{n}}}" if n else ""
+    room, low = slop or 0, F.lower(text)
+    held = F.lit(True)
+    for w in sorted(set(wanted)):
+        held = held & low.contains(w)
+
+    def reached(t: Column, i: Column) -> Column:
+        """The place of the last word if the others follow the first one, at i, each as soon as it can; -1 if one doesn't."""
+        rest = F.array(*(F.lit(w) for w in wanted[1:]))
+        within = lambda p, w: F.array_position(F.slice(t, p + 2, room + 1), w).cast("int")
+        return F.aggregate(rest, i, lambda p, w: F.when((p < 0) | (within(p, w) == 0), F.lit(-1)).otherwise(p + within(p, w)))
+
+    def ordered(t: Column, i: Column) -> Column:
+        last = reached(t, i) if len(wanted) > 1 else i
+        return (F.get(t, i) == wanted[0]) & (last - i <= len(wanted) - 1 + room) & (last >= 0)
+
+    def unordered(t: Column, i: Column) -> Column:
+        window, out = F.slice(t, i + 1, len(wanted) + room), F.get(t, i).isin(*set(wanted))
+        for w in sorted(set(wanted)):
+            out = out & (F.size(F.filter(window, _is(w))) >= wanted.count(w))
+        return out
+
+    at = unordered if in_order is False else ordered
+    # The array of one element names the tokens, so that they are made once.
+    found = F.exists(F.array(tokens(text)), lambda t: F.exists(F.sequence(F.lit(0), F.greatest(F.size(t) - 1, F.lit(0))), lambda i: F.coalesce(at(t, i), F.lit(False))))
+    return F.when(held, found).otherwise(F.when(text.isNotNull(), F.lit(False)))
 
 
 def tag_values(field: Column, separator: str = ",", case_sensitive: bool = False) -> Column:

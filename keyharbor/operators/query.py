@@ -32,10 +32,12 @@ _COMPARE: dict[str, Callable[[Any, Any], Any]] = {"eq": lambda a, b: a == b, "gt
 
 @dataclass(frozen=True)
 class Context:
-    """fields: of an index (undeclared names: equality is plain, words are text). params: vectors by name."""
+    """fields: of an index (undeclared names: equality is plain, words are text). params: vectors by name. slop, in_order: of phrases that don't say their own."""
 
     fields: Mapping[str, Field] = field(default_factory=dict)
     params: Mapping[str, Any] = field(default_factory=dict)
+    slop: int | None = None
+    in_order: bool | None = None
 
 
 def _escaped(s: str, special: str) -> str:
@@ -493,7 +495,7 @@ _LEAVES: dict[str, Callable[[Expr, Context], Column]] = {
     "wildcard": _affix(text.matches_token, text.matches_glob),
     "wildcard_exact": lambda e, c: text.matches_glob(F.col(e.name), e.args[0]),
     "fuzzy": lambda e, c: text.is_fuzzy(F.col(e.name), *e.args),
-    "phrase": lambda e, c: text.has_phrase(F.col(e.name), list(e.args[0]), e.args[1], e.args[2]),
+    "phrase": lambda e, c: text.has_phrase(F.col(e.name), list(e.args[0]), e.args[1] if e.args[1] is not None else c.slop, e.args[2] if e.args[2] is not None else c.in_order),
     "tag": lambda e, c: _tagged(e, c, e.args[0]),
     "any_text": lambda e, c: _any_of([text.has_term(F.col(n), e.args[1]) for n in e.args[0]]),
     "any_prefix": lambda e, c: _any_of([text.has_prefix(F.col(n), e.args[1]) for n in e.args[0]]),
@@ -558,18 +560,46 @@ def polygon_wkt(e: Expr) -> str:
     return f"POLYGON(({', '.join(f'{x} {y}' for x, y in ring)}))"
 
 
-def terms_of(e: Expr) -> list[tuple[str, str, float]]:
-    """(field, word, weight) of the words that a predicate searches for, outside negations: what scoring and highlighting go by."""
+#: How a token matches a searched word: of the token, the word, and the edit distance of fuzzy ones.
+MATCHES: dict[str, Callable[[Column, str, int], Column]] = {
+    "is": lambda t, w, d: t == w, "prefix": lambda t, w, d: t.startswith(w), "suffix": lambda t, w, d: t.endswith(w), "infix": lambda t, w, d: t.contains(w),
+    "fuzzy": lambda t, w, d: F.levenshtein(t, F.lit(w), d) >= 0,
+}
+
+
+@dataclass(frozen=True)
+class Term:
+    """A searched word of a field: what scoring and highlighting go by."""
+
+    field: str
+    word: str
+    weight: float = 1.0
+    how: str = "is"
+    distance: int = 0
+
+    def matches(self, token: Column) -> Column:
+        return MATCHES[self.how](token, self.word, self.distance)
+
+
+def terms_of(e: Expr) -> list[Term]:
+    """The words that a predicate searches for, outside negations."""
     if e.op == "not":
         return []
     if e.op == "boost":
-        return [(f, w, weight * e.args[0]) for f, w, weight in terms_of(e.parts[0])]
+        return [replace(t, weight=t.weight * e.args[0]) for t in terms_of(e.parts[0])]
     if e.parts:
         return [t for p in e.parts for t in terms_of(p)]
-    if e.op in ("text", "fuzzy"):
-        return [(str(e.name), w, 1.0) for w in text.words_of(e.args[0])]
+    name = str(e.name)
+    if e.op == "text":
+        return [Term(name, w) for w in text.words_of(e.args[0])]
+    if e.op == "fuzzy":
+        return [Term(name, e.args[0].lower(), how="fuzzy", distance=e.args[1])]
+    if e.op in ("prefix", "suffix", "infix"):
+        return [Term(name, e.args[0].lower(), how=e.op)]
     if e.op == "phrase":
-        return [(str(e.name), w, 1.0) for word in e.args[0] for w in text.words_of(word)]
+        return [Term(name, w) for word in e.args[0] for w in text.words_of(word)]
     if e.op == "any_text":
-        return [(n, w, 1.0) for n in e.args[0] for w in text.words_of(e.args[1])]
+        return [Term(n, w) for n in e.args[0] for w in text.words_of(e.args[1])]
+    if e.op == "any_prefix":
+        return [Term(n, e.args[1].lower(), how="prefix") for n in e.args[0]]
     return []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,9 @@ from pyspark.sql import functions as F
 
 from keyharbor.functions import text
 from keyharbor.operators.fields import Field, TextField
-from keyharbor.operators.query import Context, Expr, match_all, raw, terms_of, vector_distance
+from keyharbor.operators.query import Context, Expr, Term, match_all, raw, terms_of, vector_distance
 from keyharbor.sources.options import HighlightOptions, SearchOptions, SummarizeOptions
-from keyharbor.sources.scan import KEY, Schema, Source, _options, json_field, parsed, table_of, typed_fields
+from keyharbor.sources.scan import EXPIRES, KEY, Schema, Source, _options, hash_fields, json_field, live, row_index, table_of, ttl, typed_fields, with_variant
 
 
 def _query(query: Any) -> Expr:
@@ -32,66 +33,71 @@ def _nearest(e: Expr) -> tuple[Expr | None, Expr | None]:
     return e, None
 
 
-def bm25(df: DataFrame, terms: list[tuple[str, str, float]], score_column: str, k1: float = 1.2, b: float = 0.75, tfidf: bool = False) -> DataFrame:
-    """df with the BM25 (or TF-IDF) score of the terms (field, word, weight), counted over df.
+def bm25(df: DataFrame, terms: list[Term], score_column: str, k1: float = 1.2, b: float = 0.75, tfidf: bool = False) -> DataFrame:
+    """df with the BM25 (or TF-IDF) score of the terms, counted over df. A word part or a fuzzy word counts all tokens that it matches.
 
-    Counts of documents and lengths are one aggregate of one row, broadcast; nothing is exploded.
+    Counts of documents and lengths are one aggregate of one row, broadcast; nothing is exploded, and each field is cut into tokens once a pass.
     """
-    names = sorted({f for f, _, _ in terms})
-    tokens = {f: text.tokens(F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in names}
-    wanted = sorted({(f, w) for f, w, _ in terms})
-    holds = [F.sum(F.array_contains(tokens[f], w).cast("long")).alias(f"_df{k}") for k, (f, w) in enumerate(wanted)]
-    totals = df.agg(F.count(F.lit(1)).alias("_docs"), *(F.avg(F.size(tokens[f])).alias(f"_len{k}") for k, f in enumerate(names)), *holds)
-    joined = df.crossJoin(F.broadcast(totals))  # one row
+    names = sorted({t.field for t in terms})
+    wanted = list(dict.fromkeys(replace(t, weight=1.0) for t in terms))
+    counted = df.withColumns({f"__tok{k}": text.tokens(F.coalesce(F.col(f).cast("string"), F.lit(""))) for k, f in enumerate(names)})
+    counted = counted.withColumns({f"__tf{k}": F.size(F.filter(f"__tok{names.index(t.field)}", t.matches)).cast("double") for k, t in enumerate(wanted)} | {f"__n{k}": F.size(f"__tok{k}") for k in range(len(names))})
+    totals = counted.agg(F.count(F.lit(1)).alias("__docs"), *(F.avg(f"__n{k}").alias(f"__len{k}") for k in range(len(names))), *(F.count_if(F.col(f"__tf{k}") > 0).alias(f"__df{k}") for k in range(len(wanted))))
+    joined = counted.crossJoin(F.broadcast(totals))  # one row
     score = F.lit(0.0)
-    for f, w, weight in terms:
-        n, k = F.col(f"_df{wanted.index((f, w))}"), names.index(f)
-        tf = F.size(F.filter(tokens[f], _equals(w))).cast("double")
-        idf = F.log(1 + (F.col("_docs") - n + 0.5) / (n + 0.5))
-        part = tf * F.log(1 + F.col("_docs") / F.greatest(n, F.lit(1))) if tfidf else idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.size(tokens[f]) / F.greatest(F.col(f"_len{k}"), F.lit(1e-9))))
-        score = score + weight * part
+    for t in terms:
+        k, f = wanted.index(replace(t, weight=1.0)), names.index(t.field)
+        tf, n = F.col(f"__tf{k}"), F.col(f"__df{k}")
+        idf = F.log(1 + (F.col("__docs") - n + 0.5) / (n + 0.5))
+        part = tf * F.log(1 + F.col("__docs") / F.greatest(n, F.lit(1))) if tfidf else idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col(f"__n{f}") / F.greatest(F.col(f"__len{f}"), F.lit(1e-9))))
+        score = score + t.weight * part
     return joined.select(*df.columns, score.alias(score_column))
 
 
-def _equals(word: str) -> Callable[[Column], Column]:
-    return lambda t: t == word
+def search(source: Source, query: Any = "*", *, fields: dict[str, Field] | None = None, options: SearchOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
+    """Live rows of a table under the pattern that the query finds, all of its columns (`projection`: these). knn gives the nearest k with `_distance`.
 
-
-def search(source: Source, query: Any = "*", *, fields: dict[str, Field] | None = None, options: SearchOptions | None = None, **named: Any) -> DataFrame:
-    """Rows of a table that the query finds, all of its columns. knn gives the nearest k with `_distance`.
-
-    Order is by sort_by (nulls last, ties by key), by score, or by distance; else none.
+    Order is by sort_by (nulls last, ties by key), by score, or by distance; else none. Row index (in that order, else by key), key and TTL come first, where they are
+    included; a table without a column _key has no such columns. slop and in_order hold for phrases that don't say their own.
     """
     o = _options(SearchOptions, options, {"query": query} | named)
-    df, context = table_of(source), Context(fields or {}, o.params)
+    df, context = live(table_of(source), now), Context(fields or {}, o.params, o.slop, o.in_order)
+    has_key = KEY in df.columns
     condition, nearest = _nearest(_query(o.query))
+    if o.pattern != "*":
+        df = df.where(text.matches_glob(F.col(KEY), o.pattern))
     if o.in_keys is not None:
         df = df.where(F.col(KEY).isin(o.in_keys))
-    out = df.where(condition.to_column(context)) if condition is not None else df
-    terms = [(f, w, x) for f, w, x in (terms_of(condition) if condition is not None else []) if (not o.in_fields or f in o.in_fields) and (o.no_stopwords or w not in text.STOPWORDS)]
-    terms = [(f, w, x * (fields[f].weight if fields and isinstance(fields.get(f), TextField) else 1.0)) for f, w, x in terms]
-    if o.include_score:
-        # Documents are counted over the whole table, scores given to what was found.
-        scored = bm25(df, terms, o.score_column_name, tfidf=o.scorer.upper().startswith("TFIDF"))
-        out = scored.where(condition.to_column(context)) if condition is not None else scored
-    key = [F.asc(KEY)] if KEY in df.columns else []
+    terms = [t for t in (terms_of(condition) if condition is not None else []) if (not o.in_fields or t.field in o.in_fields) and (o.no_stopwords or t.how != "is" or t.word not in text.STOPWORDS)]
+    terms = [replace(t, weight=t.weight * fields[t.field].weight) if fields and isinstance(fields.get(t.field), TextField) else t for t in terms]
+    # Documents are counted over the whole table, scores given to what is found.
+    out = bm25(df, terms, o.score_column_name, tfidf=o.scorer.upper().startswith("TFIDF")) if o.include_score else df
+    out = out.where(condition.to_column(context)) if condition is not None else out
+    key, order = [F.asc(KEY)] if has_key else [], []
     if nearest is not None:
-        out = out.withColumn("_distance", vector_distance(nearest, context)).where("_distance IS NOT NULL").orderBy(F.asc("_distance"), *key).limit(nearest.args[0])
+        out, order = out.withColumn("_distance", vector_distance(nearest, context)).where("_distance IS NOT NULL"), [F.asc("_distance"), *key]
     elif o.sort_by:
-        out = out.orderBy(F.asc_nulls_last(o.sort_by) if o.sort_ascending else F.desc_nulls_last(o.sort_by), *key)
+        order = [F.asc_nulls_last(o.sort_by) if o.sort_ascending else F.desc_nulls_last(o.sort_by), *key]
     elif o.include_score:
-        out = out.orderBy(F.desc(o.score_column_name), *key)
-    if o.offset:
-        out = out.offset(o.offset)
-    if o.n_rows is not None:
-        out = out.limit(o.n_rows)
+        order = [F.desc(o.score_column_name), *key]
+    out = out.orderBy(*order) if order else out
+    out = out.limit(nearest.args[0]) if nearest is not None else out
+    if o.include_row_index:
+        # The index counts what is found, from row_index_offset on, before an offset or limit takes a part of it.
+        out = row_index(out, o.row_index_column_name, order or key, o.row_index_offset)
+        out = out.orderBy(o.row_index_column_name) if order else out
+    out = out.offset(o.offset) if o.offset else out
+    out = out.limit(o.n_rows) if o.n_rows is not None else out
     if o.nocontent:
         return out.select(KEY)
-    return _marked(out, terms, o.highlight, o.summarize)
+    index = [F.col(o.row_index_column_name)] * o.include_row_index
+    meta = index + ([F.col(KEY).alias(o.key_column_name)] * o.include_key + [ttl(df, now).alias(o.ttl_column_name)] * o.include_ttl if has_key else [])
+    data = [c for c in out.columns if c not in (KEY, EXPIRES, *([o.row_index_column_name] if o.include_row_index else [])) and (o.projection is None or c in (*o.projection, o.score_column_name, "_distance"))]
+    return _marked(out, terms, o.highlight, o.summarize).select(*meta, *data)
 
 
-def _marked(df: DataFrame, terms: list[tuple[str, str, float]], highlight: HighlightOptions | None, summarize: SummarizeOptions | None) -> DataFrame:
-    words = {f: [w for g, w, _ in terms if g == f] for f, _, _ in terms}
+def _marked(df: DataFrame, terms: list[Term], highlight: HighlightOptions | None, summarize: SummarizeOptions | None) -> DataFrame:
+    words = {t.field: [u.word for u in terms if u.field == t.field] for t in terms}
     for f in (summarize.fields or list(words)) if summarize else []:
         df = df.withColumn(f, text.summarized(F.col(f), words.get(f, []), summarize.frags, summarize.len, summarize.separator))
     for f in (highlight.fields or list(words)) if highlight else []:
@@ -99,20 +105,23 @@ def _marked(df: DataFrame, terms: list[tuple[str, str, float]], highlight: Highl
     return df
 
 
-def search_hashes(source: Source, query: Any = "*", schema: Schema | None = None, *, fields: dict[str, Field] | None = None, options: SearchOptions | None = None, **named: Any) -> DataFrame:
-    """search() over a hash table whose fields are typed by the schema first."""
+def search_hashes(source: Source, query: Any = "*", schema: Schema | None = None, *, fields: dict[str, Field] | None = None, options: SearchOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
+    """search() over a hash table whose fields (columns, or one map) are typed by the schema first; a field that no row has is null."""
     if not schema:
         raise ValueError("a search needs a schema")
     df = table_of(source)
-    strict = [parsed(F.col(n).cast("string"), t).alias(n) if df.schema[n].dataType.simpleString() == "string" else F.col(n) for n, t in typed_fields(schema)]
-    return search(df.select(KEY, *strict), query, fields=fields, options=options, **named)
+    kept = [c for c in (KEY, EXPIRES) if c in df.columns]
+    return search(df.select(*kept, *hash_fields(df, typed_fields(schema))), query, fields=fields, options=options, now=now, **named)
 
 
-def search_json(source: Source, query: Any = "*", schema: Schema | None = None, *, fields: dict[str, Field] | None = None, options: SearchOptions | None = None, **named: Any) -> DataFrame:
+def search_json(source: Source, query: Any = "*", schema: Schema | None = None, *, fields: dict[str, Field] | None = None, options: SearchOptions | None = None, now: float | None = None, **named: Any) -> DataFrame:
+    """search() over the top-level fields of JSON documents, typed by the schema."""
     if not schema:
         raise ValueError("a search needs a schema")
-    df = table_of(source).select(KEY, *(json_field(F.col("doc"), n, t).alias(n) for n, t in typed_fields(schema)))
-    return search(df, query, fields=fields, options=options, **named)
+    df = table_of(source)
+    kept = [c for c in (KEY, EXPIRES) if c in df.columns]
+    typed = with_variant(df, schema).select(*kept, *(json_field(F.col("doc"), n, t, parsed_doc=F.col("__doc")).alias(n) for n, t in typed_fields(schema)))
+    return search(typed, query, fields=fields, options=options, now=now, **named)
 
 
 def expression(said: str) -> Column:
@@ -198,4 +207,4 @@ def aggregate_hashes(source: Source, query: Any = "*", **named: Any) -> DataFram
 def aggregate_json(source: Source, query: Any = "*", schema: Schema | None = None, **named: Any) -> DataFrame:
     """aggregate() over the typed fields of JSON documents."""
     df = table_of(source)
-    return aggregate(df.select(KEY, *(json_field(F.col("doc"), n, t).alias(n) for n, t in typed_fields(schema))) if schema else df, query, **named)
+    return aggregate(with_variant(df, schema).select(KEY, *(json_field(F.col("doc"), n, t, parsed_doc=F.col("__doc")).alias(n) for n, t in typed_fields(schema))) if schema else df, query, **named)

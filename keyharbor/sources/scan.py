@@ -109,9 +109,20 @@ def scan_hashes(source: Source, pattern: str = "*", schema: Schema | None = None
     if not schema:
         raise ValueError("a hash scan needs a schema")
     o, df = _options(opt.HashScanOptions, options, {"pattern": pattern} | named), table_of(source)
+    return _out(df, o, hash_fields(df, _projected(typed_fields(schema), o.projection), o.strict), [], now)
+
+
+def hash_fields(df: DataFrame, fields: list[tuple[str, Any]], strict: bool = True) -> list[Column]:
+    """Fields of a hash table, typed: from columns of text (others stay what they are where that is the type), or from one map `fields`; a missing one is null."""
     in_map = isinstance(df.schema["fields"].dataType, MapType) if "fields" in df.columns else False
-    raw = lambda n: F.try_element_at("fields", F.lit(n)) if in_map else F.col(n).cast("string") if n in df.columns else F.lit(None).cast("string")
-    return _out(df, o, [parsed(raw(n), t, o.strict).alias(n) for n, t in _projected(typed_fields(schema), o.projection)], [], now)
+
+    def of(name: str, to: Any) -> Column:
+        if not in_map and name in df.columns and df.schema[name].dataType == type_of(to):
+            return F.col(name)
+        raw = F.try_element_at("fields", F.lit(name)) if in_map else F.col(name).cast("string") if name in df.columns else F.lit(None).cast("string")
+        return parsed(raw, to, strict).alias(name)
+
+    return [of(n, t) for n, t in fields]
 
 
 def json_field(doc: Column, name: str, to: Any, strict: bool = True, path: str = "$", parsed_doc: Column | None = None) -> Column:
