@@ -12,6 +12,9 @@ from collections.abc import Callable
 
 import numpy as np
 
+#: Buckets beyond which several are worked at once.
+MANY = 1000
+
 
 def _types(t: np.ndarray) -> np.ndarray:
     """True where the suffix is S. The last one (the sentinel) is S."""
@@ -71,18 +74,19 @@ def _induced(t: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sizes: np.ndarray
         return j[of < first], first
 
     def swept(s_type: bool, edge: np.ndarray, bounds: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], one: Callable[[int], None]) -> None:
-        step, k, width = -1 if s_type else 1, 0, 16
-        order = used[::-1] if s_type else used
+        """A pass over all buckets: several at once where they are many and so small."""
+        step, k, least = -1 if s_type else 1, 0, 16 if len(used) >= MANY else 1
+        order, width = used[::-1] if s_type else used, least
         while k < len(order):
             part = order[k : k + width]
-            j, n = ahead(np.sort(part), s_type, bounds) if width > 1 else (sa[:0], 0)
+            j, n = ahead(part[::-1] if s_type else part, s_type, bounds) if width > 1 else (sa[:0], 0)
             if n:
                 if len(j):
                     _placed(j, t[j], edge, sa, step)
-                k, width = k + n, width * 2 if n == len(part) else max(2, 2 * n)
+                k, width = k + n, width * 2 if n == len(part) else max(least, n)
             else:
                 one(int(order[k]))
-                k, width = k + 1, max(1, width // 2) if len(used) < 1000 else 16
+                k += 1
 
     # How many equal characters stand before a place.
     at = np.arange(len(t), dtype=np.int32)

@@ -8,7 +8,7 @@ task, so text is routed to shards by content:
    wherever they stand. Neighbouring windows of one anchor form a stretch. A block asks, for each of its stretches, who
    else has the anchor; questions are dealt by anchor, a row for each block and bucket.
 3. The answer tells which anchors stand in several documents, and which stretches another document has as a whole: stretches are named by a
-   128-bit BLAKE2b digest of their bytes, and within a block those of one name are held against each other byte by byte. Only stretches whose
+   BLAKE2b digest of their bytes beside their anchor (112 bits or more in all), and within a block those of one name are held against each other byte by byte. Only stretches whose
    anchor has several versions need more; one copy of each version goes to the anchor's shard.
 4. A shard sorts its suffixes by induced sorting and takes the permuted common prefixes: suffixes that share `least` bytes are neighbours, and
    all but those of the smallest id among them are found again.
@@ -137,10 +137,9 @@ class Stretches:
 
 
 def _digests(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Names of byte strings: two numbers each."""
+    """Names of byte strings: 64 bits of BLAKE2b each, beside 48 bits and a bucket of their anchors, which are hashes of what they hold too."""
     named = hashlib.blake2b
-    raw = b"".join([named(data[a : a + n], digest_size=16).digest() for a, n in zip(start.tolist(), size.tolist(), strict=True)])
-    return np.frombuffer(raw, "<u8").reshape(-1, 2)
+    return np.frombuffer(b"".join([named(data[a : a + n], digest_size=8).digest() for a, n in zip(start.tolist(), size.tolist(), strict=True)]), "<u8")
 
 
 def _packed(raw: bytes) -> bytes:
@@ -218,8 +217,8 @@ def _questions(packed: DataFrame, least: int, buckets: int) -> DataFrame:
                 bucket = ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 cuts = np.searchsorted(bucket, np.arange(buckets + 1))
                 some = np.flatnonzero(np.diff(cuts))
-                # 48 bits of the anchor beside its bucket, 128 of the version.
-                asked = [_pack(*(x.astype(t) for x, t in ((h[a:z], "<u4"), (h[a:z] >> np.uint64(32) & np.uint64(0xFFFF), "<u2"), (g[a:z, 0], "<u8"), (g[a:z, 1], "<u8"), (d[a:z], "<u4"), (d[a:z] >> 32, "<i4")))) for a, z in zip(cuts[some], cuts[some + 1], strict=True)]
+                # 48 bits of the anchor beside its bucket, 64 of the version.
+                asked = [_pack(*(x.astype(t) for x, t in ((h[a:z], "<u4"), (h[a:z] >> np.uint64(32) & np.uint64(0xFFFF), "<u2"), (g[a:z], "<u8"), (d[a:z], "<u4"), (d[a:z] >> 32, "<i4")))) for a, z in zip(cuts[some], cuts[some + 1], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(np.full(len(some), block), pa.int64()), pa.array(asked, pa.binary())], names=schema.names)
 
     return packed.select("block", "ids", "ends", "data").mapInArrow(ask, schema)
@@ -234,14 +233,14 @@ def _answers(questions: DataFrame) -> DataFrame:
     schema = StructType([StructField("bucket", IntegerType()), StructField("block", LongType()), StructField("told", BinaryType())])
 
     def tell(group: pa.Table) -> pa.Table:
-        asked = [_unpack(x, "<u4", "<u2", "<u8", "<u8", "<u4", "<i4") for x in group["asked"].to_pylist()]
+        asked = [_unpack(x, "<u4", "<u2", "<u8", "<u4", "<i4") for x in group["asked"].to_pylist()]
         sizes = [len(x[0]) for x in asked]
-        h0, h1, g, g1, d0, d1 = (np.concatenate([x[k] for x in asked]) for k in range(6))
+        h0, h1, g, d0, d1 = (np.concatenate([x[k] for x in asked]) for k in range(5))
         h, d = h1.astype(np.int64) << 32 | h0, d1.astype(np.int64) << 32 | d0
-        order = np.lexsort((d, g1, g, h))
-        h, g, g1, d = h[order], g[order], g1[order], d[order]
+        order = np.lexsort((d, g, h))
+        h, g, d = h[order], g[order], d[order]
         new_h = np.append(True, h[1:] != h[:-1])
-        new_v = new_h | np.append(True, (g[1:] != g[:-1]) | (g1[1:] != g1[:-1]))
+        new_v = new_h | np.append(True, g[1:] != g[:-1])
         at = np.flatnonzero(new_v)
         least = d[at]  # of each version
         anchors = np.flatnonzero(new_h[at])
@@ -332,8 +331,29 @@ def _picked(known: DataFrame, least: int) -> DataFrame:
     return known.select("block", "ids", "ends", "data", "told").mapInArrow(pick, schema)
 
 
+def _company(texts: list[bytes], least: int) -> np.ndarray:
+    """Texts one of whose windows has the hash of another text's: in the others, whose hashes differ, no string of `least` bytes can be shared."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    w = words64(np.frombuffer(b"".join(texts), np.uint8))
+    text = np.repeat(np.arange(len(texts)), sizes)
+    at = np.flatnonzero(np.arange(len(text)) + least <= np.cumsum(sizes)[text])
+    h = np.zeros(len(at), np.uint64)
+    for o in [*range(0, least - 7, 8), max(0, least - 8)]:
+        h = _mixed(h ^ w[at + o] * _MIX[0])
+    order = np.argsort(h)
+    h, text = h[order], text[at[order]]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+    mixed = np.minimum.reduceat(text, first) != np.maximum.reduceat(text, first) if len(first) else np.zeros(0, bool)
+    return np.unique(text[np.repeat(mixed, np.diff(np.append(first, len(h))))])
+
+
 def repeated(texts: list[bytes], ids: np.ndarray, least: int) -> list[tuple[int, int, int]]:
-    """(text, start, windows): runs of windows of `least` bytes that a text of a smaller id holds too, by one suffix array over all texts."""
+    """(text, start, windows): runs of windows of `least` bytes that a text of a smaller id holds too, by one suffix array over all texts that can share any."""
+    some = _company(texts, least)
+    return [(int(some[k]), a, n) for k, a, n in _shared([texts[k] for k in some.tolist()], ids[some], least)] if len(some) else []
+
+
+def _shared(texts: list[bytes], ids: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     sizes = np.array([len(t) for t in texts], np.int64)
     joined = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
     begins = np.cumsum(sizes + 1) - sizes - 1
