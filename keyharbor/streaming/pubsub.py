@@ -63,9 +63,9 @@ def _log(messages: DataFrame, channels: list[str], pattern: bool) -> DataFrame:
     return _chosen(messages, channels, pattern).withColumns({"ms": (F.col("ts") * 1000).cast("long"), "seq": F.lit(0).cast("long")})
 
 
-def iter_pubsub(messages: DataFrame, channels: list[str], checkpoint: str, *, pattern: bool = False, batch_timeout_ms: int = 1000, available_now: bool = True) -> Iterator[list[dict[str, Any]]]:
-    """Micro-batches of a streaming frame of messages; a batch ends with the source's own size limit or the time between triggers."""
-    yield from iter_stream(_log(messages, channels, pattern), checkpoint, available_now=available_now, batch_timeout_ms=batch_timeout_ms)
+def iter_pubsub(messages: DataFrame, channels: list[str], checkpoint: str, *, pattern: bool = False, batch_timeout_ms: int = 1000, available_now: bool = True, batch_size: int | None = None) -> Iterator[list[dict[str, Any]]]:
+    """Lists of messages of a streaming frame, batch_size at most each; a micro-batch ends with the source's own size limit or the time between triggers."""
+    yield from iter_stream(_log(messages, channels, pattern), checkpoint, available_now=available_now, batch_timeout_ms=batch_timeout_ms, batch_size=batch_size)
 
 
 def iter_pubsub_async(messages: DataFrame, channels: list[str], checkpoint: str, *, pattern: bool = False, **named: Any):

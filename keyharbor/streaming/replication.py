@@ -87,6 +87,7 @@ class ReplicationDestination:
     key_prefix: str = ""
     write_type: str = "hash"
     timeout_ms: int = 30_000
+    keep_versions: int = 3
 
     def rows(self, df: DataFrame) -> DataFrame:
         if self.filter is not None:
@@ -97,7 +98,10 @@ class ReplicationDestination:
         writers = {"hash": write_hashes, "json": write_json}
         if self.write_type not in writers:
             raise ValueError(f"write_type is one of {', '.join(writers)}")
-        return writers[self.write_type](self.rows(df), opened(self.target), key_column=self.key_column, key_prefix=self.key_prefix, if_exists="replace")
+        table = opened(self.target)
+        n = writers[self.write_type](self.rows(df), table, key_column=self.key_column, key_prefix=self.key_prefix, if_exists="replace")
+        table.vacuum(self.keep_versions)  # every batch makes a version
+        return n
 
 
 @dataclass

@@ -98,3 +98,64 @@ def test_messages(spark, log, path):
     assert kh.collect_pubsub(df, ["other"], parser=lambda d: d.withColumn("k", F.length("message")), include_channel=False, include_timestamp=False).first()["k"] == 8
     df.write.parquet(f"{path}/m")
     assert sum(len(b) for b in kh.iter_pubsub(kh.open_log(f"{path}/m"), ["news:*"], f"{path}/mc", pattern=True)) == 3
+
+
+def test_an_iterator_that_breaks_off_is_given_its_batch_again(spark, log, path):
+    for rows in kh.iter_stream(kh.open_log(log), f"{path}/c"):
+        assert len(rows) == 10
+        break  # a crash: the batch was not gone past
+    again = list(kh.iter_stream(kh.open_log(log), f"{path}/c", batch_size=4))
+    assert [len(b) for b in again] == [4, 4, 2]
+    assert not list(kh.iter_stream(kh.open_log(log), f"{path}/c"))
+
+
+def test_commit_rollback_and_ack(spark, log, path):
+    group = kh.Group(f"{path}/g")
+    kh.read_stream(spark.read.parquet(log), "events", schema=[], group=group, consumer="c")
+    assert group.pending_count("c") == 10 and group.pending_count("d") == 0
+    assert [tuple(r) for r in group.pending_by_consumer().collect()] == [("c", 10, "1000-0", "1004-1")]
+    seen = []
+    with kh.StreamConsumer(kh.open_log(log), "g", "c", f"{path}/k", entries=group, batch_size=6, auto_commit=False) as consumer:
+        for rows in consumer:
+            seen.append([f"{r['ms']}-{r['seq']}" for r in rows])
+            if len(seen) == 1:
+                consumer.rollback()
+            else:
+                assert consumer.ack() == len(rows)
+                consumer.commit()
+    assert [len(x) for x in seen] == [6, 6, 4] and seen[0] == seen[1] and consumer.stats.entries_processed == 10 and group.pending_count() == 0
+    with pytest.raises(ValueError):
+        kh.StreamConsumer(kh.open_log(log), "g", "d", f"{path}/k").ack()
+    group.destroy()
+    assert kh.read_stream(spark.read.parquet(log), "events", schema=[], group=group).count() == 10
+
+
+def test_async_consumer(spark, log, path):
+    import asyncio
+
+    async def consume():
+        got = []
+        async with kh.StreamConsumer(kh.open_log(log), "g", "c", f"{path}/k", batch_size=5) as consumer:
+            async for rows in consumer:
+                got.append(len(rows))
+        return got
+
+    assert asyncio.run(consume()) == [5, 5]
+    assert not list(kh.StreamConsumer(kh.open_log(log), "g", "c", f"{path}/k"))
+
+
+def test_two_consumers_at_a_time_share_no_entry(spark, log, path):
+    """The second one reads the state before the first one has recorded its delivery."""
+    a, b = kh.Group(f"{path}/g"), kh.Group(f"{path}/g")
+    df = spark.read.parquet(log)
+    late, first = [], b._deliveries.latest
+
+    def stale():
+        found = first()
+        if not late:
+            late.append({r["_id"] for r in kh.read_stream(df, "events", schema=[], group=a, consumer="a", count=6).collect()})
+        return found
+
+    b._deliveries.latest = stale
+    mine = {r["_id"] for r in kh.read_stream(df, "events", schema=[], group=b, consumer="b", count=6).collect()}
+    assert len(late[0]) == 6 and len(mine) == 4 and not mine & late[0]
