@@ -15,7 +15,7 @@ _HOMES = {
     "keyharbor.operators.query": "Context Expr col cols match_all match_none raw",
     "keyharbor.operators.search": "aggregate aggregate_hashes aggregate_json search search_hashes search_json",
     "keyharbor.sources.cache": "CacheInfo cache cache_dataframe cache_exists cache_info cache_lazy cache_ttl delete_cached get_cached_dataframe scan_cached",
-    "keyharbor.sources.index": "Catalog DetectedIndex ExecutionStrategy Index IndexDiff IndexInfo QueryPlan explain_scan plan_query smart_scan",
+    "keyharbor.sources.index": "Catalog DetectedIndex ExecutionStrategy Index IndexDiff IndexInfo QueryPlan explain_scan find_index_for_pattern list_indexes plan_query smart_scan",
     "keyharbor.sources.infer": "SchemaConfidence infer_hash_schema infer_hash_schema_with_confidence infer_hash_schema_with_overwrite infer_json_schema infer_json_schema_with_overwrite",
     "keyharbor.sources.options": "HashScanOptions HighlightOptions JsonScanOptions ListScanOptions ScanOptions SearchOptions SetScanOptions StreamScanOptions StringScanOptions SummarizeOptions TimeSeriesScanOptions ZSetScanOptions get_default_batch_size get_default_count_hint get_default_timeout_ms",
     "keyharbor.sources.scan": "KeyScanner key_info read_hashes read_json read_lists read_sets read_streams read_strings read_timeseries read_zsets scan_hashes scan_json scan_keys scan_lists scan_sets scan_streams scan_strings scan_timeseries scan_zsets",

@@ -63,7 +63,7 @@ def search(source: Source, query: Any = "*", *, fields: dict[str, Field] | None
     o = _options(SearchOptions, options, {"query": query} | named)
     df, context = live(table_of(source), now), Context(fields or {}, o.params, o.slop, o.in_order)
     has_key = KEY in df.columns
-    condition, nearest = _nearest(_query(o.query))
+    condition, nearest = _nearest(_query(query if isinstance(o.query, str) and o.query == "*" else o.query))  # options say more than keywords, but "*" says nothing
     if o.pattern != "*":
         df = df.where(text.matches_glob(F.col(KEY), o.pattern))
     if o.in_keys is not None:

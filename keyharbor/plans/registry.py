@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 import keyharbor as kh
 from keyharbor.operators.query import Expr, col
 from keyharbor.plans.mounts import event_log, event_series, hashes, keyed, millis, places, table
-from keyharbor.sources import scan, write
+from keyharbor.sources import write
+from keyharbor.sources.scratch import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,9 +70,11 @@ def agg_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("n", rounded("total", places=2), "customers")
 
 
-@query("agg_count_distinctish", None)
+@query("agg_count_distinctish", "SELECT l_returnflag, count(DISTINCT l_partkey) AS exact, true AS near FROM lineitem GROUP BY 1")
 def agg_count_distinctish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kh.aggregate(table(spark, sf_dir, "lineitem"), group_by=["l_returnflag"], reduce=[("COUNT_DISTINCTISH", ["@l_partkey"], "x")])
+    """near: the approximate count is within a fifth of the exact one (four of its standard errors)."""
+    out = kh.aggregate(table(spark, sf_dir, "lineitem"), group_by=["l_returnflag"], reduce=[("COUNT_DISTINCTISH", ["@l_partkey"], "x"), ("COUNT_DISTINCT", ["@l_partkey"], "exact")])
+    return out.select("l_returnflag", "exact", (F.abs(F.col("x") / F.col("exact") - 1) < 0.2).alias("near"))
 
 
 @query("agg_apply", """
@@ -125,6 +129,27 @@ def scan_hashes_index_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.scan_hashes(h, "*", {"n_name": str}, include_row_index=True, include_ttl=True, now=1000.0)
 
 
+_LINES = "'line:' || l_orderkey || ':' || l_linenumber || ':' || l_partkey || ':' || l_suppkey"
+
+
+def line_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as hashes: its four numbers tell its rows apart."""
+    li = table(spark, sf_dir, "lineitem")
+    parts = [F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    return li.select(F.concat_ws(":", F.lit("line"), *parts).alias("_key"), *(F.col(c).cast("string").alias(c) for c in li.columns))
+
+
+@query("scan_row_index_lineitem", f"SELECT 5 + row_number() OVER (ORDER BY {_LINES}) - 1 AS _index, {_LINES} AS _key, l_extendedprice FROM lineitem")
+def scan_row_index_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kh.scan_hashes(line_hashes(spark, sf_dir), "line:*", {"l_extendedprice": float}, include_row_index=True, row_index_offset=5)
+
+
+@query("scan_orders_typed", "SELECT 'order:' || o_orderkey AS _key, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders")
+def scan_orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = hashes(table(spark, sf_dir, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date")), "order", "o_orderkey")
+    return kh.scan_hashes(o, "order:*", {"o_custkey": int, "o_orderstatus": str, "o_totalprice": float, "o_orderdate": "date", "o_orderpriority": str})
+
+
 @query("scan_glob_keys", "SELECT 'customer:' || c_custkey AS _key FROM customer WHERE 'customer:' || c_custkey GLOB 'customer:1?[2-5]*'")
 def scan_glob_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.scan_keys(keyed(table(spark, sf_dir, "customer"), "customer", "c_custkey"), "customer:1?[2-5]*")
@@ -177,10 +202,9 @@ def stream_count_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.scan_streams(event_log(spark, sf_dir), "user:*", fields=["event_type"], include_sequence=True, count_per_stream=3)
 
 
-@query("ts_range_raw", "SELECT 'ts:' || user_id AS _key, epoch_us(ts) // 1000 AS _ts, value FROM events WHERE epoch_us(ts) // 1000 >= 1704067200000 AND user_id % 7 = 1")
+@query("ts_range_raw", "SELECT 'ts:' || user_id AS _key, epoch_us(ts) // 1000 AS _ts, value FROM events WHERE epoch_us(ts) // 1000 >= 1704067200000")
 def ts_range_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series = event_series(spark, sf_dir).where(F.substring("_key", 4, 20).cast("long") % 7 == 1)
-    return kh.scan_timeseries(series, "ts:*", start=1704067200000)
+    return kh.scan_timeseries(event_series(spark, sf_dir), "ts:*", start=1704067200000)
 
 
 _TS_SQL = {
@@ -220,9 +244,12 @@ def key_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Predicates
 
 
-def _filtered(name: str, of: str, key: str, q: Expr, where: str, fields: dict | None = None, params: dict | None = None) -> None:
+def _filtered(name: str, of: str, key: str, q: Expr, where: str, fields: dict | None = None, params: dict | None = None, made: dict[str, str] | None = None) -> None:
+    """made: columns, in Spark SQL, that the table lacks."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return kh.search(keyed(table(spark, sf_dir, of), of, key), q, fields=fields, params=params or {}).select(key)
+        df = table(spark, sf_dir, of).withColumns({c: F.expr(said) for c, said in (made or {}).items()})
+        return kh.search(keyed(df, of, key), q, fields=fields, params=params or {}).select(key)
 
     query(f"pred_{name}", f"SELECT {key} FROM {of} WHERE {where}")(run)
 
@@ -254,9 +281,9 @@ _filtered("phrase_slop", "documents", "doc_id", col("text").phrase("of", "the",
 _filtered("tag", "part", "p_partkey", col("p_type").has_tag("economy"), "list_contains(string_split(lower(p_type), ' '), 'economy')", _TAGS)
 _filtered("tag_any", "part", "p_partkey", col("p_type").has_any_tag(["SMALL", "promo"]), "list_has_any(string_split(lower(p_type), ' '), ['small', 'promo'])", _TAGS)
 _filtered("multi_field", "part", "p_partkey", kh.cols("p_name", "p_brand").contains("red"), f"list_contains({_TOKENS.format('p_name')}, 'red') OR list_contains({_TOKENS.format('p_brand')}, 'red')")
-_filtered("multi_field_prefix", "part", "p_partkey", kh.cols("p_name", "p_brand").starts_with("bra"), f"len(list_filter(list_concat({_TOKENS.format('p_name')}, {_TOKENS.format('p_brand')}), lambda t: starts_with(t, 'bra'))) > 0")
-_filtered("null", "documents", "doc_id", col("lang").is_null(), "lang IS NULL")
-_filtered("not_null", "documents", "doc_id", col("lang").is_not_null(), "lang IS NOT NULL")
+_filtered("multi_field_prefix", "part", "p_partkey", kh.cols("p_name", "p_type").starts_with("sm"), f"len(list_filter(list_concat({_TOKENS.format('p_name')}, {_TOKENS.format('p_type')}), lambda t: starts_with(t, 'sm'))) > 0")
+_filtered("null", "documents", "doc_id", col("other").is_null(), "lang = 'en'", made={"other": "nullif(lang, 'en')"})
+_filtered("not_null", "documents", "doc_id", col("other").is_not_null(), "lang <> 'en'", made={"other": "nullif(lang, 'en')"})
 _filtered("boost_optional", "part", "p_partkey", (col("p_name").contains("widget").boost(2.0)) & col("p_name").contains("cold").optional(), f"list_contains({_TOKENS.format('p_name')}, 'widget')")
 _filtered("raw_query", "part", "p_partkey", kh.raw("p_size % 5 = 0 AND p_retailprice > 900"), "p_size % 5 = 0 AND p_retailprice > 900")
 _filtered("regex", "documents", "doc_id", col("text").matches_regex("[0-9]{3}-[0-9]{4}"), "regexp_matches(text, '[0-9]{3}-[0-9]{4}')")
@@ -268,8 +295,8 @@ _filtered("date_cmp", "orders", "o_orderkey", (col("o_orderdate").as_date() >= "
 _filtered("date_part", "orders", "o_orderkey", col("o_orderdate").as_date().month().is_in([1, 2]) & (col("o_orderdate").as_date().year() >= 1996), "month(o_orderdate) IN (1, 2) AND year(o_orderdate) >= 1996")
 _filtered("weekday", "orders", "o_orderkey", col("o_orderdate").as_datetime().weekday() == 0, "isodow(o_orderdate) = 1")
 _filtered("hour_minute", "events", "event_id", (col("ts").as_datetime().hour() < 6) & (col("ts").as_datetime().minute() > 30), "hour(ts) < 6 AND minute(ts) > 30")
-_filtered("array_contains", "embeddings", "vec_id", ~col("embedding").array_contains(9.0), "NOT list_contains(embedding, 9.0)")
-_filtered("array_len", "embeddings", "vec_id", col("embedding").array_len() > 63, "len(embedding) > 63")
+_filtered("array_contains", "part", "p_partkey", col("names").array_contains("red"), "list_contains(string_split(p_name, ' '), 'red')", made={"names": "split(p_name, ' ')"})
+_filtered("array_len", "documents", "doc_id", col("said").array_len() > 100, "len(string_split(text, ' ')) > 100", made={"said": "split(text, ' ')"})
 _filtered("json_path", "events", "event_id", col("props").json_path("$.k") > 50, "CAST(json_extract_string(props, '$.k') AS DOUBLE) > 50")
 
 
@@ -301,6 +328,45 @@ def search_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("p_partkey", rounded("score"))
 
 
+@query("search_ttl", "SELECT row_number() OVER (ORDER BY n_name) - 1 AS _index, 'nation:' || n_nationkey AS k, CAST(CASE WHEN n_nationkey % 3 = 0 THEN -1 ELSE 60 + n_nationkey END AS BIGINT) AS _ttl, n_name, CAST(NULL AS BIGINT) AS missing FROM nation WHERE n_nationkey % 3 <> 1 AND n_nationkey > 3")
+def search_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("n_nationkey").cast("int")
+    h = hashes(table(spark, sf_dir, "nation"), "nation", "n_nationkey").withColumn("_expire_at", F.when(k % 3 == 0, None).when(k % 3 == 1, 999.0).otherwise(1060.0 + k))
+    schema = {"n_name": str, "n_nationkey": int, "missing": int}
+    return kh.search_hashes(h, col("n_nationkey") > 3, schema, sort_by="n_name", include_row_index=True, include_ttl=True, key_column_name="k", projection=["n_name", "missing"], now=1000.0)
+
+
+@query("search_slop_default", f"SELECT doc_id FROM documents WHERE regexp_matches(' ' || array_to_string({_TOKENS.format('text')}, ' ') || ' ', ' of ([^ ]+ ){{0,2}}the ')")
+def search_slop_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kh.search(keyed(table(spark, sf_dir, "documents"), "doc", "doc_id"), col("text").phrase("of", "the"), options=kh.SearchOptions().with_slop(2).with_in_order()).select("doc_id")
+
+
+def _bm25_sql(matches: str) -> str:
+    return f"""
+    WITH t AS (SELECT p_partkey, {_TOKENS.format('p_name')} AS tok FROM part), c AS (SELECT *, len(list_filter(tok, lambda x: {matches})) AS tf FROM t), s AS (
+        SELECT count(*) AS n, avg(len(tok)) AS al, count(*) FILTER (WHERE tf > 0) AS d FROM c
+    )
+    SELECT p_partkey, round(ln(1 + (n - d + 0.5) / (d + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(tok) / al)), 4) AS score FROM c, s WHERE tf > 0"""
+
+
+def _scored(name: str, q: Expr, matches: str) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return kh.search(keyed(table(spark, sf_dir, "part"), "part", "p_partkey"), q, include_score=True, score_column_name="score").select("p_partkey", rounded("score"))
+
+    query(f"search_score_{name}", _bm25_sql(matches))(run)
+
+
+_scored("prefix", col("p_name").starts_with("wi"), "starts_with(x, 'wi')")
+_scored("suffix", col("p_name").ends_with("et"), "ends_with(x, 'et')")
+_scored("infix", col("p_name").contains_substring("ol"), "contains(x, 'ol')")
+_scored("fuzzy", col("p_name").fuzzy("wadget", 1), "levenshtein(x, 'wadget') <= 1")
+
+
+@query("search_in_keys", "SELECT p_partkey FROM part WHERE p_partkey IN (1, 2, 3, 5, 8, 13) AND p_size < 40")
+def search_in_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kh.search(keyed(table(spark, sf_dir, "part"), "part", "p_partkey"), col("p_size") < 40, in_keys=[f"part:{k}" for k in (1, 2, 3, 5, 8, 13)]).select("p_partkey")
+
+
 @query("search_highlight", "SELECT p_partkey, regexp_replace(p_name, '(?i)\\b(widget)\\b', '<em>\\1</em>', 'g') AS p_name FROM part WHERE list_contains(regexp_extract_all(lower(p_name), '[\\p{L}\\p{N}]+'), 'widget')")
 def search_highlight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.search(keyed(table(spark, sf_dir, "part"), "part", "p_partkey"), col("p_name").contains("widget"), highlight=kh.HighlightOptions(open_tag="<em>", close_tag="</em>")).select("p_partkey", "p_name")
@@ -415,11 +481,24 @@ def geo_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.where(col("at").within_polygon([(-100.0, -30.0), (20.0, -30.0), (20.0, 50.0)]).to_column()).select("member")
 
 
-@query("geo_hash", None)
+_BITS = lambda k: " + ".join(f"{1 << (4 - b % 5)} * (CAST(floor({'(lon + 180) / 360' if b % 2 == 0 else '(lat + 90) / 180'} * {float(1 << (b // 2 + 1))}) AS BIGINT) % 2)" for b in range(5 * k, 5 * k + 5))
+
+
+@query("geo_hash", f"SELECT member, {' || '.join(f'substr(z, 1 + CAST({_BITS(k)} AS INT), 1)' for k in range(11))} AS geohash FROM {_PLACES}, (SELECT '0123456789bcdefghjkmnpqrstuvwxyz' AS z)")
 def geo_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.geo_hash(places(spark, sf_dir))
 
 
+@query("geo_pos", f"SELECT a.member, lon AS longitude, lat AS latitude FROM (VALUES ('supplier:3'), ('supplier:9'), ('nobody')) a(member) LEFT JOIN {_PLACES} p USING (member)")
+def geo_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kh.geo_pos(places(spark, sf_dir), ["supplier:3", "supplier:9", "nobody"])
+
+
+@query("geo_dist", f"SELECT round({_HAVERSINE.format(lon='x', lat='y', m=1000.0)}, 4) AS km FROM {_PLACES} p, (SELECT lon AS x, lat AS y FROM {_PLACES} WHERE member = 'supplier:7') WHERE member = 'supplier:2'")
+def geo_dist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.createDataFrame([(kh.geo_dist(places(spark, sf_dir), "supplier:7", "supplier:2"),)], "km double").select(rounded("km"))
+
+
 # Writers: the state after a write, as a plan
 
 
@@ -456,6 +535,79 @@ def write_zset_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kh.scan_zsets(write.merged("zset", write.zset_rows(c), write.zset_rows(new), "append"), "nation:*")
 
 
+def _target(spark: SparkSession) -> str:
+    """A table of its own in the shared folder."""
+    return f"{run_dir(spark)}/target-{uuid.uuid4().hex}"
+
+
+@query("write_hashes_numbered", "SELECT count(*) AS n, count(DISTINCT l_orderkey) AS orders, count(*) AS keys, max(n) AS last FROM (SELECT l_orderkey, row_number() OVER () - 1 AS n FROM lineitem)")
+def write_hashes_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of lineitem under keys that are made for it: how many there are, and the last one."""
+    path = _target(spark)
+    n = kh.write_hashes(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice"), path, key_column=None, key_prefix="line:")
+    number = F.substring("_key", 6, 20).cast("long")
+    return kh.Table(path).read().agg(F.lit(n).cast("long").alias("n"), F.count_distinct("l_orderkey").alias("orders"), F.count_distinct("_key").alias("keys"), F.max(number).alias("last"))
+
+
+@query("write_strings", "SELECT 'nation:' || n_nationkey AS _key, n_name AS value FROM nation")
+def write_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _target(spark)
+    kh.write_strings(table(spark, sf_dir, "nation"), path, key_column="n_nationkey", value_column="n_name", key_prefix="nation:")
+    return kh.scan_strings(kh.Table(path).read(), "nation:*")
+
+
+@query("write_set_append", "SELECT DISTINCT 'order:' || l_orderkey AS _key, CAST(l_suppkey AS VARCHAR) AS member FROM lineitem")
+def write_set_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = keyed(table(spark, sf_dir, "lineitem"), "order", "l_orderkey").select("_key", F.col("l_suppkey").alias("member"), "l_linenumber")
+    return kh.scan_sets(write.merged("set", write.set_rows(rows.where("l_linenumber < 4")), write.set_rows(rows.where("l_linenumber > 2")), "append"), "order:*")
+
+
+@query("write_list_append", "SELECT 'nation:' || c_nationkey AS _key, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey > 700, c_custkey) - 1 AS position, CAST(c_custkey AS VARCHAR) AS element FROM customer")
+def write_list_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer").select(F.concat(F.lit("nation:"), F.col("c_nationkey").cast("string")).alias("_key"), F.col("c_custkey").alias("element"), "c_custkey")
+    made = [write.list_rows(c.where(part), index_column="c_custkey") for part in ("c_custkey <= 700", "c_custkey > 700")]
+    return kh.scan_lists(write.merged("list", *made, "append"), "nation:*", include_position=True)
+
+
+def _nations(spark: SparkSession, sf_dir: str, ttl: float | None = None) -> str:
+    path = _target(spark)
+    kh.write_hashes(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), path, key_column="n_nationkey", key_prefix="nation:", ttl=ttl, now=1000.0)
+    return path
+
+
+_ASKED = "(SELECT 'nation:' || k AS _key, k FROM (VALUES (1), (2), (3), (99)) t(k))"
+
+
+@query("keys_ttl", f"SELECT _key, CAST(CASE k WHEN 99 THEN -2 WHEN 1 THEN 30 WHEN 2 THEN -1 ELSE 90 END AS BIGINT) AS ttl FROM {_ASKED}")
+def keys_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations that live for 100 seconds, ten of them gone; one of them then for 30, one for ever."""
+    path = _nations(spark, sf_dir, 100.0)
+    kh.set_ttl(path, ["nation:1", "nation:99"], 30.0, now=1010.0)
+    kh.persist_keys(path, ["nation:2"], now=1010.0)
+    return kh.get_ttl(path, [f"nation:{k}" for k in (1, 2, 3, 99)], now=1010.0)
+
+
+@query("keys_exist", f"SELECT _key, k <> 99 AS exists FROM {_ASKED}")
+def keys_exist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kh.exists_keys(_nations(spark, sf_dir), [f"nation:{k}" for k in (1, 2, 3, 99)], now=1010.0)
+
+
+@query("keys_deleted", "SELECT 'nation:' || n_nationkey AS _key, n_name FROM nation WHERE n_nationkey NOT IN (1, 2, 3) AND 'nation:' || n_nationkey NOT LIKE 'nation:1_'")
+def keys_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _nations(spark, sf_dir)
+    kh.delete_keys(path, ["nation:1", "nation:2", "nation:3", "nation:99"], now=1010.0)
+    kh.delete_keys_pattern(path, "nation:1?", now=1010.0)
+    return kh.Table(path).read().select("_key", "n_name")
+
+
+@query("read_stream", f"SELECT _id, _ts, event_type FROM (SELECT ms || '-' || seq AS _id, ms AS _ts, event_type, row_number() OVER (ORDER BY ms, seq) AS n FROM {_EVENTS} WHERE _key = 'user:7') WHERE n BETWEEN 4 AND 8")
+def read_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second delivery of a group, after one of three entries."""
+    group, log = kh.Group(_target(spark)), event_log(spark, sf_dir)
+    kh.read_stream(log, "user:7", schema=["event_type"], group=group, consumer="a", count=3)
+    return kh.read_stream(log, "user:7", schema=["event_type"], group=group, consumer="b", count=5, include_key=False)
+
+
 @query("replicate_filter", "SELECT event_id FROM events WHERE event_type <> 'click' AND value >= 50 AND event_type IN ('purchase', 'view')")
 def replicate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = hashes(table(spark, sf_dir, "events"), "event", "event_id")
@@ -475,7 +627,10 @@ def rename_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renamed(n.select("_key", "n_name"), names)
 
 
-@query("infer_schema", "SELECT field, type, CAST(confidence AS DOUBLE) AS confidence FROM (VALUES ('event_id', 'long', 1.0), ('event_type', 'string', 1.0), ('props', 'string', 1.0), ('ts', 'string', 1.0), ('user_id', 'long', 1.0), ('value', 'double', 1.0)) t(field, type, confidence)")
+_KINDS = ("event_id", "event_type", "props", "ts", "user_id", "value")
+
+
+@query("infer_schema", " UNION ALL ".join(f"SELECT '{c}' AS field, CASE WHEN count(*) = count(try_cast(CAST({c} AS VARCHAR) AS BIGINT)) AND NOT bool_or(contains(CAST({c} AS VARCHAR), '.')) THEN 'long' WHEN count(*) = count(try_cast(CAST({c} AS VARCHAR) AS DOUBLE)) THEN 'double' ELSE 'string' END AS type, CAST(1 AS DOUBLE) AS confidence FROM events" for c in _KINDS))
 def infer_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = kh.infer_hash_schema_with_confidence(hashes(table(spark, sf_dir, "events"), "event", "event_id"), 1000)
     return spark.createDataFrame([(n, i.type, i.confidence) for n, i in found.field_info.items()], "field string, type string, confidence double")
@@ -493,25 +648,30 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The result of a streaming aggregate over all that is there, through a memory sink."""
-    import uuid
-
-    name = f"stream_{uuid.uuid4().hex}"
-    source = f"{sf_dir}/events.parquet"
+    """The result of a streaming aggregate over all that is there, which each batch writes anew."""
+    path, source = f"{run_dir(spark)}/stream-{uuid.uuid4().hex}", f"{sf_dir}/events.parquet"
     folder, file = source.rsplit("/", 1)
     e = spark.readStream.schema(spark.read.parquet(source).schema).option("pathGlobFilter", file if not file.endswith("/") else "*").parquet(folder)
-    of(e).writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    result = of(e)
+
+    def save(df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/result")
+
+    result.writeStream.foreachBatch(save).option("checkpointLocation", f"{path}/checkpoint").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(result.schema).parquet(f"{path}/result")
 
 
 @query("cache_roundtrip", "SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1")
 def cache_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{scratch(spark)}/cache"
+    path = f"{run_dir(spark)}/cache"
     df = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"))
     kh.cache_dataframe(df, path, f"flags:{sf_dir}", compression="zstd")
     return kh.get_cached_dataframe(path, f"flags:{sf_dir}")
 
 
-def scratch(spark: SparkSession) -> str:
-    """The cluster's shared folder, else a local one."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/keyharbor").rstrip("/")
+@query("cache_lineitem", "SELECT * FROM lineitem")
+def cache_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All of lineitem, written to a cache and read from it."""
+    path = f"{run_dir(spark)}/cache-{uuid.uuid4().hex}"
+    kh.cache_dataframe(table(spark, sf_dir, "lineitem"), path, "lineitem", compression="zstd")
+    return kh.get_cached_dataframe(path, "lineitem")

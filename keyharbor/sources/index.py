@@ -12,6 +12,7 @@ from pyspark.sql.types import BooleanType, NumericType, StringType, StructType
 
 from keyharbor.errors import IndexNotFound, InvalidInput, KeyExists
 from keyharbor.operators.fields import Field, GeoField, GeoShapeField, NumericField, TagField, TextField, VectorField
+from keyharbor.operators.keys import delete_keys_pattern
 from keyharbor.operators.query import Expr
 from keyharbor.operators.search import search_hashes
 from keyharbor.sources.scan import Schema, Source, scan_hashes, typed_fields
@@ -130,7 +131,10 @@ class Catalog:
             raise KeyExists(f"index {index.name!r} exists")
         self._save([*self._rows(), index])
 
-    def drop(self, name: str, missing_ok: bool = False) -> None:
+    def drop(self, name: str, missing_ok: bool = False, delete_docs: Table | str | None = None) -> None:
+        """delete_docs: the table whose keys under the index's prefix go too."""
+        if delete_docs is not None and self.exists(name):
+            delete_keys_pattern(delete_docs, f"{self.get(name).prefix}*")
         rest = [i for i in self._rows() if i.name != name]
         if len(rest) == len(self._rows()):
             if missing_ok:
@@ -164,6 +168,14 @@ class Catalog:
         return max(found, key=lambda i: len(i.prefix), default=None)
 
 
+def list_indexes(catalog: Catalog | Table | str) -> list[IndexInfo]:
+    return (catalog if isinstance(catalog, Catalog) else Catalog(catalog)).list_indexes()
+
+
+def find_index_for_pattern(catalog: Catalog | Table | str, pattern: str) -> Index | None:
+    return (catalog if isinstance(catalog, Catalog) else Catalog(catalog)).find_index_for_pattern(pattern)
+
+
 class ExecutionStrategy(Enum):
     SEARCH = "search"
     SCAN = "scan"
