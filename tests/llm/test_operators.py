@@ -476,6 +476,16 @@ def test_toxicity_learns_pairs(labelled, docs, empty, spark):
     assert toxicity.fit(rows, labels.where("false")).bias < 0 and len(toxicity.fit(rows, labels.where("toxic = 0")).terms) == 0
 
 
+def test_logit_is_the_sum_over_terms_and_pairs():
+    rng = np.random.default_rng(4)
+    m = toxicity.Machine(-0.5, np.arange(30), rng.normal(size=30), rng.normal(size=(30, 3)))
+    held = [sorted(rng.choice(30, rng.integers(0, 9), replace=False).tolist()) for _ in range(20)]
+    got = m.logit(np.array([k for h in held for k in h], np.int64), np.cumsum([len(h) for h in held]))
+    for h, x in zip(held, got, strict=True):
+        pairs = sum(m.factors[a] @ m.factors[b] for n, a in enumerate(h) for b in h[n + 1 :])
+        assert x == pytest.approx(-0.5 + m.weights[h].sum() + pairs)
+
+
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'good' WHEN quality = 0 THEN 'poor' END"
 
 
@@ -486,7 +496,11 @@ def test_mixing_meets_targets(labelled, docs, empty):
     got = rated.collect()
     p, t, rate = np.array([r["posterior"] for r in got]), np.array([r["tokens"] for r in got], float), np.array([r["rate"] for r in got])
     goal = np.array([targets[d] for d in domains])
-    assert (rate >= 0).all() and np.abs((rate * t) @ p / t.sum() - goal).max() < np.abs(t @ p / t.sum() - goal).max()
+    assert (rate >= 0).all() and np.abs((rate * t) @ p / t.sum() - goal).max() < 0.05 < np.abs(t @ p / t.sum() - goal).max()
+    reached = {r["domain"]: r for r in mixing.totals(rated, domains, targets).collect()}
+    assert all(reached[d]["tokens"] == pytest.approx(((rate * t) @ p)[k]) and reached[d]["target"] == targets[d] and abs(reached[d]["share"] - targets[d]) < 0.05 for k, d in enumerate(domains))
+    with pytest.raises(ValueError, match="godo"):
+        mixing.mixture(rows, labels, F.expr(DOMAIN), {"godo": 1.0})
     # The same problem, solved plainly.
     r, s = np.ones(len(t)), t / t.sum()
     for _ in range(4000):
@@ -495,6 +509,8 @@ def test_mixing_meets_targets(labelled, docs, empty):
     copies = mixing.resampled(rows, rated)
     counts = Counter(x["doc_id"] for x in copies.collect())
     assert all(int(x["rate"]) <= counts[x["id"]] <= int(x["rate"]) + 1 for x in got) and copies.columns == rows.columns
+    extra = rows.select("*", F.lit("kept").alias("_copy"), F.lit(1).alias("rate"))
+    assert mixing.resampled(extra, rated).where("_copy = 'kept'").count() == copies.count()
     some, _ = mixing.mixture(docs, labels, F.expr(DOMAIN), targets)
     assert some.count() == len(texts()) and mixing.mixture(empty, labels, F.expr(DOMAIN), targets)[0].count() == 0
     assert mixing.mixture(docs, labels.where("false"), F.expr(DOMAIN), targets)[1] == ("all",)
@@ -535,6 +551,14 @@ def test_embedding_dedup(spark):
     assert embedding_dedup.near_duplicates(df.where("vec_id BETWEEN 9000 AND 9050")).count() == 5
 
 
+def test_equal_vectors_are_one_row(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, [1.0, 2.0, 3.0, 4.0], 1) for k in range(5000)] + [(10_000 + k, rng.normal(size=4).tolist(), 1) for k in range(3)] + [(None, [1.0, 2.0, 3.0, 4.0], 1), (7, [1.0, 2.0, 3.0, 4.0], 2), (7, [1.0, 2.0, 3.0, 4.0], 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = embedding_dedup.near_duplicates(df).collect()
+    assert Counter((r["n_links"], r["component_id"]) for r in found if r["vec_id"] is None or r["vec_id"] < 10_000) == {(5000, 0): 5001, (1, 7): 2} and len(found) == len(rows)
+
+
 def test_multi_sequence_order_is_by_summed_distance():
     rng = np.random.default_rng(1)
     index = embedding_dedup.Index(rng.normal(size=(7, 4)), rng.normal(size=(6, 4)), 10)
@@ -548,6 +572,13 @@ def test_multi_sequence_order_is_by_summed_distance():
 # Queries
 
 
+#: The contract's kinds of secrets: pattern, group that is measured, least length.
+BASE = [
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20), ("hex", r"[0-9a-f]+", 0, 24),
+]
+
+
 def test_digests_of_the_queries(spark, data):
     from keyharbor.llm.queries import QUERIES
 
@@ -555,6 +586,22 @@ def test_digests_of_the_queries(spark, data):
     rows = QUERIES["op4_bpe_round_trip"](spark, data).collect()
     sha = {r["doc_id"]: hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
     assert len(rows) == n and all(r["decoded_sha256"] == sha[r["doc_id"]] for r in rows)
+    said = tiktoken.Encoding("test", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in (line.split() for line in open(RANKS, "rb").read().splitlines() if line)}, special_tokens={})
+    texts_of = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect()}
+    ids = {i: said.encode_ordinary(t) for i, t in texts_of.items()}
+    assert all(r["n_tokens"] == len(ids[r["doc_id"]]) and r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids[r["doc_id"]])).encode()).hexdigest() for r in rows)
+    cut = {r["doc_id"]: r for r in QUERIES["op7_suffix_dedup"](spark, data).collect()}
+    for (i, kept, spans), n in brute_cut(list(texts_of.items()), 50).items():
+        r = cut[i]
+        assert n == 1 and (r["n_bytes"], r["n_removed"], r["n_spans"]) == (len(texts_of[i].encode()), sum(z - a for a, z in spans), len(spans)) and r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+    for r in QUERIES["op10_secret_scan"](spark, data).collect():
+        text, base = texts_of[r["doc_id"]], []
+        for order, (kind, pattern, group, least) in enumerate(BASE):
+            base += [(m.start(), order, f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(pattern, text, re.A) if len(m.group(group)) >= least]
+        said_base = ",".join(x[2] for x in sorted(base))
+        assert r["base_sha256"] == hashlib.sha256(said_base.encode()).hexdigest()
+        assert [r[f"n_{kind}"] for kind, *_ in BASE] == [sum(x[2].startswith(f"{kind}:") for x in base) for kind, *_ in BASE]
+        assert set(filter(None, said_base.split(","))) <= set(r["spans"].split(","))
     held = QUERIES["op5_toxicity"](spark, data).collect()
     import zlib
 
