@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import keyharbor as kh
-from keyharbor.errors import IndexNotFound
+from keyharbor.errors import IndexNotFound, VersionConflict
 from keyharbor.functions.parse import parsed
 from keyharbor.sources import write
 
@@ -248,3 +248,88 @@ def test_geo(spark, path):
     matrix = {r["member"]: r for r in kh.geo_dist_matrix(places, ["New York", "Chicago"]).collect()}
     assert matrix["New York"]["New York"] == 0 and matrix["New York"]["Chicago"] == pytest.approx(matrix["Chicago"]["New York"])
     assert kh.geo_hash(spark.createDataFrame([("x", -5.6, 42.6)], "member string, lon double, lat double"), length=5).first()["geohash"] == "ezs42"
+
+
+@pytest.mark.parametrize("aqe", ["true", "false"])
+def test_row_index_counts_every_row(spark, path, aqe):
+    """Wide rows over many partitions: each number once, in the order of keys, for scans and for keys that a write makes."""
+    n, held = 300_000, {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    rows = spark.range(n).select(F.format_string("k%09d", F.col("id")).alias("_key"), F.col("id").cast("string").alias("v"), F.repeat(F.lit("x"), 80).alias("w")).repartition(16, F.rand(3))
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        scanned = kh.scan_hashes(rows, "*", {"v": int, "w": str}, include_row_index=True, row_index_offset=7)
+        assert tuple(scanned.agg(F.count(F.lit(1)), F.count_if(F.col("_index") == F.col("v") + 7)).first()) == (n, n)
+        assert kh.write_hashes(rows.drop("_key"), path, key_column=None, key_prefix="r:") == n
+        number = F.substring("_key", 3, 20).cast("long")
+        assert tuple(kh.Table(path).read().agg(F.count(F.lit(1)), F.count_distinct(number), F.min(number), F.max(number), F.count_distinct("v")).first()) == (n, n, 0, n - 1, n)
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+def test_a_crash_between_rows_and_pointer_leaves_the_version_before(spark, path, monkeypatch):
+    table = kh.Table(path)
+    table.save(spark.range(3))
+
+    def crash(*_):
+        raise RuntimeError("gone")
+
+    monkeypatch.setattr(kh.Table, "_pointed", crash)
+    with pytest.raises(RuntimeError):
+        table.save(spark.range(5))
+    monkeypatch.undo()
+    assert table.read().count() == 3
+    table.save(spark.range(4))
+    assert table.read().count() == 4 and table.latest()[0] == 2
+
+
+def test_of_two_writers_none_is_lost(spark, path, monkeypatch):
+    """The second one has read the table before the first one saves."""
+    kh.write_hashes(spark.createDataFrame([("a", "1")], "_key string, v string"), path)
+    first, other = kh.Table.latest, []
+
+    def stale(self):
+        found = first(self)
+        if not other:
+            other.append(True)
+            other.append(kh.write_hashes(spark.createDataFrame([("b", "2")], "_key string, v string"), path))
+        return found
+
+    monkeypatch.setattr(kh.Table, "latest", stale)
+    assert kh.write_hashes(spark.createDataFrame([("c", "3")], "_key string, v string"), path) == 1
+    monkeypatch.undo()
+    assert {r["_key"]: r["v"] for r in kh.Table(path).read().collect()} == {"a": "1", "b": "2", "c": "3"} and other[1] == 1
+    table = kh.Table(path)
+    with pytest.raises(VersionConflict):
+        table.save(spark.range(1), after=1)
+    assert table.vacuum(1) == 2 and table.read().count() == 3
+
+
+def test_detailed_writes(spark, path):
+    rows = spark.createDataFrame([("a", "x"), (None, "y"), ("b", "z")], "_key string, s string")
+    out = kh.write_hashes_detailed(rows, path)
+    assert (out.keys_written, out.keys_failed, out.is_complete_success, sorted(out.succeeded_keys)) == (2, 1, False, ["a", "b"]) and out.errors == {"": "1 rows have no key"}
+    assert {r["_key"] for r in out.keys().collect()} == {"a", "b"}
+    with pytest.raises(ValueError):
+        kh.Table("/")
+
+
+def test_search_options(spark, users):
+    mapped = spark.createDataFrame([("h:1", {"a": "5", "b": "x y"}, None), ("h:2", {"a": "7"}, 50.0), ("o:1", {"a": "9"}, None)], "_key string, fields map<string,string>, _expire_at double")
+    rows = kh.search_hashes(mapped, kh.col("a") > 1, {"a": int, "b": str}, pattern="h:*", include_ttl=True, now=10.0, sort_by="a", include_row_index=True, row_index_offset=1).collect()
+    assert [tuple(r) for r in rows] == [(1, "h:1", -1, 5, "x y"), (2, "h:2", 40, 7, None)]
+    assert [tuple(r) for r in kh.search_hashes(mapped, kh.col("a") > 1, {"a": int, "nope": str}, now=60.0, include_key=False, n_rows=9).sort("a").collect()] == [(5, None), (9, None)]
+    assert [f for f in kh.search_json(spark.createDataFrame([("j", '{"a": 1}')], "_key string, doc string"), "*", {"a": int}).columns] == ["_key", "a"]
+    doc = spark.createDataFrame([("j", '{"in": {"n": 3, "s": "t"}, "n": 1}')], "_key string, doc string")
+    assert tuple(kh.scan_json(doc, "*", {"n": int, "s": str}, options=kh.JsonScanOptions().with_path("$.in").with_projection(["n"])).first()) == ("j", 3)
+
+
+def test_phrases_by_places(spark):
+    from keyharbor.functions.text import has_phrase
+
+    df = spark.createDataFrame([("a b c",), ("a x b y c",), ("b a",), ("a b",), ("a a",), ("x a y z a",), (None,), ("",)], "t string")
+    found = lambda *w, **k: {r["t"] for r in df.where(has_phrase(F.col("t"), list(w), **k)).collect()}
+    assert found("a", "b") == {"a b c", "a b"} and found("a b", "c", slop=2) == {"a b c", "a x b y c"} and found("a", "b", "c", slop=1) == {"a b c"}
+    assert found("a", "a", in_order=False) == {"a a"} and found("a", "a", slop=2, in_order=False) == {"a a", "x a y z a"} and found("a", "b", in_order=False) == {"a b c", "b a", "a b"}
+    assert found(*"abc", slop=9) == {"a b c", "a x b y c"} and found() == {r["t"] for r in df.collect()}
